@@ -7,14 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import byte_bpe, licenses, packing, token_counts
+from kindred.llm import byte_bpe, licenses, packing, quality_knn, quality_rules, token_counts
 from kindred.session import table
 
 
+def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op5(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.op6(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op7(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -28,7 +36,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_license_scan, op7_token_counts, op9_best_fit_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_quality_knn, op5_license_scan, op6_quality_rules, op7_token_counts, op9_best_fit_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
