@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import byte_bpe, licenses, packing, quality_knn, quality_rules, token_counts
+from kindred.llm import byte_bpe, licenses, ngram_join, packing, quality_knn, quality_rules, token_counts
 from kindred.session import table
 
 
@@ -27,6 +27,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.op7(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048, 0)
 
@@ -36,7 +40,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_knn, op5_license_scan, op6_quality_rules, op7_token_counts, op9_best_fit_packing, op10_byte_bpe)}
+    return {f.__name__: f for f in (op2_quality_knn, op5_license_scan, op6_quality_rules, op7_token_counts, op8_ngram_jaccard, op9_best_fit_packing, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
