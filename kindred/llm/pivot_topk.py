@@ -249,10 +249,10 @@ def op4(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, c -> CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(64 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
 ), e AS (SELECT vec_id, unnest(x) AS c, generate_subscripts(x, 1) AS i FROM v),
 s AS (
   SELECT q.vec_id AS query_id, o.vec_id AS vec_id, CAST(sum(q.c * o.c) AS BIGINT) AS score

@@ -7,14 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import byte_bpe, licenses, ngram_join, packing, pivot_topk, quality_knn, quality_rules, token_counts
+from kindred.llm import byte_bpe, licenses, ngram_join, packing, pivot_topk, quality_knn, quality_rules, token_counts, url_filter, warc
 from kindred.session import table
 
 
+def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op1(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op3(table(spark, sf_dir, "pages"))
+
+
 def op4_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk.op4(table(spark, sf_dir, "embeddings"))
 
@@ -44,7 +52,19 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_knn, op4_pivot_topk, op5_license_scan, op6_quality_rules, op7_token_counts, op8_ngram_jaccard, op9_best_fit_packing, op10_byte_bpe)}
+    own = (
+        op1_warc_segments,
+        op2_quality_knn,
+        op3_url_filter,
+        op4_pivot_topk,
+        op5_license_scan,
+        op6_quality_rules,
+        op7_token_counts,
+        op8_ngram_jaccard,
+        op9_best_fit_packing,
+        op10_byte_bpe,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
