@@ -201,6 +201,13 @@ def judged(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFram
     return statistics(df, text_col).withColumn("kept", ~F.col("base_failed") & ~rejects(rules))
 
 
+def kept(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """df without the rows that the base rule or a learned rule rejects; all columns as they were."""
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns))
+    found = judged(df.select(whole.alias("_row"), F.col(f"`{text_col}`").alias("_judged")), rules, "_judged")
+    return found.where("kept").select("_row.*")
+
+
 def op6(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = learn_from(docs, labels)
     found = judged(narrowed(docs, doc_id=("doc_id", "long"), text=("text", "string")), rules)
