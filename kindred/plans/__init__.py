@@ -1 +1,17 @@
+"""Queries of the engine, each with its SQL twin."""
 
+from __future__ import annotations
+
+
+def queries() -> dict:
+    from kindred.plans import q_linkage  # noqa: F401  registers
+    from kindred.plans.catalogue import QUERIES
+
+    return dict(QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    from kindred.plans.catalogue import ORACLES
+
+    queries()
+    return dict(ORACLES)

@@ -7,6 +7,9 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +62,31 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once for each application, so that Python functions load there wherever the
+    driver was started. Spark's own file server hands it out."""
+    context = spark.sparkContext
+    if getattr(context, "_kindred_shipped", False):
+        return
+    root = Path(__file__).parent
+    folder = tempfile.mkdtemp(prefix="kindred-package-")  # the driver's file server reads it as long as the application runs
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/kindred-package.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(archive)
+    context._kindred_shipped = True
+
+
+def shipped(query):
+    """A query that ships the package first."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
