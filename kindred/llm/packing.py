@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
 import os
+import re
 import struct
 import zlib
 
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import Memo, engine, groups, narrowed, read_bytes
+from kindred.llm.common import MEMO_ENTRIES, Memo, engine, groups, narrowed, read_bytes
 from kindred.session import scratch, settled
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
@@ -33,10 +35,83 @@ PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long,
 SLICE = 4_000_000
 
 
+# The tokenizer's pre-tokens, for words of ASCII and Latin letters that have no composed or special form.
+_PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]*")
+_PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+
+
+class StepMerges:
+    """Byte-pair merges of many pre-tokens in step: those of one length form a matrix, and each step merges the pair of
+    lowest rank, leftmost among equals, in every row that still has one."""
+
+    def __init__(self, merges: np.ndarray, first: np.ndarray, last: np.ndarray):
+        """merges: (left id, right id, merged id) by rank; first, last: ids of a byte inside and at the end of a word."""
+        keys = merges[:, 0] << 32 | merges[:, 1]
+        self.order = np.argsort(keys, kind="stable")
+        self.keys, self.merged = keys[self.order], merges[:, 2]
+        self.first, self.last, self.none = first, last, len(keys)
+
+    @classmethod
+    def of(cls, spec: dict) -> StepMerges | None:
+        """From a tokenizer's description, if it is a byte-level BPE with a suffix at word ends and nothing else."""
+        model, pre = spec["model"], json.dumps(spec.get("pre_tokenizer") or {})
+        suffix = model.get("end_of_word_suffix")
+        if model.get("type") != "BPE" or not suffix or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("ignore_merges") or "ByteLevel" not in pre:
+            return None
+        vocabulary = model["vocab"]
+        # a byte's character: itself where printable, else the next one from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = iter(range(256, 512))
+        names = [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+        try:
+            rows = [(vocabulary[a], vocabulary[b], vocabulary[a + b]) for a, b in (m if isinstance(m, list) else m.split(" ") for m in model["merges"])]
+            first, last = [vocabulary[c] for c in names], [vocabulary[c + suffix] for c in names]
+        except (KeyError, ValueError):
+            return None
+        return cls(np.array(rows, np.int64), np.array(first, np.int64), np.array(last, np.int64))
+
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.order[at], self.none)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(words)
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        for n, rows in by_length.items():
+            raw = np.frombuffer(b"".join([words[i] for i in rows]), np.uint8).reshape(len(rows), n)
+            ids = self.first[raw]
+            ids[:, -1] = self.last[raw[:, -1]]
+            rows, ranks = np.array(rows), self.ranks(ids[:, :-1], ids[:, 1:])
+            while True:
+                width = ids.shape[1]
+                best = ranks.argmin(1) if width > 1 else None
+                done = ranks.min(1) == self.none if width > 1 else np.ones(len(ids), bool)
+                if done.any():
+                    flat = ids[done].astype("<u4").tobytes()
+                    for k, i in enumerate(rows[done].tolist()):
+                        out[i] = flat[4 * width * k : 4 * width * (k + 1)]
+                    if done.all():
+                        break
+                    ids, ranks, rows, best = ids[~done], ranks[~done], rows[~done], best[~done]
+                each = np.arange(len(ids))
+                ids[each, best] = self.merged[ranks[each, best]]
+                keep = np.ones(ids.shape, bool)
+                keep[each, best + 1] = False
+                ids, ranks = ids[keep].reshape(len(ids), width - 1), ranks[keep[:, 1:]].reshape(len(ids), width - 2)
+                for at in (best - 1, best):
+                    own = np.flatnonzero((at >= 0) & (at < width - 2))
+                    ranks[own, at[own]] = self.ranks(ids[own, at[own]], ids[own, at[own] + 1])
+        return out
+
+
 class WordIds:
     """Little-endian ids of a tokenizer whose pre-tokens never go past white space, with a memo of words.
 
-    Words are cut at ASCII white space only; whatever else the tokenizer does stays within them.
+    Words are cut at ASCII white space only; whatever else the tokenizer does stays within them. Plain words share a
+    memo of their lower-case pre-tokens, so that punctuation and capitals don't make a new word of a known one.
     """
 
     def __init__(self, model: bytes):
@@ -44,12 +119,40 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model.decode())
-        self.memo = Memo(self.encode)
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
+        self.memo, self.pre_tokens = Memo(self.encode, 2 * MEMO_ENTRIES), Memo(self.library)
+        merges = StepMerges.of(json.loads(model))
+        probe = "It's “Ünïted”—l'ÉTÉ's 42%%% naïve,don't!! a ab ababababab strawberry"
+        parts = [p for w in probe.split() for p in (_PRE_TOKEN.findall(w.lower()) if _PLAIN.fullmatch(w) else [w])]
+        parts = [p.encode() for p in parts]
+        self.plain = b"".join(self.library(parts)) == self.library([probe.encode()])[0]
+        if merges and self.plain and merges.encode([p for p in parts if p.isascii()]) == self.library([p for p in parts if p.isascii()]):
+            self.pre_tokens = Memo(merges.encode)
+
+    def library(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in found]
 
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Ids of new words: plain ones by their pre-tokens, all others by the library as they are."""
+        parts: list[list[bytes]] = []
+        odd: dict[int, bytes] = {}
+        for raw in words:
+            if self.plain and raw.isalpha():
+                parts.append([raw.lower()])
+            elif self.plain and raw[:-1].isalpha() and raw[-1:].isascii() and not raw[-1:].isalnum():
+                parts.append([raw[:-1].lower(), raw[-1:]])
+            # "<|" may begin a special token, which the library finds before anything else
+            elif self.plain and b"<|" not in raw and _PLAIN.fullmatch(word := raw.decode()):
+                parts.append([p.encode() for p in _PRE_TOKEN.findall(word.lower())])
+            else:
+                odd[len(parts)] = raw
+                parts.append([])
+        get = self.pre_tokens.ready(p for own in parts for p in own)
+        out = [b"".join(map(get, own)) for own in parts]
+        for i, ids in zip(odd, self.library(list(odd.values())), strict=True):
+            out[i] = ids
+        return out
+
     def ids(self, texts: list[str]) -> list[bytes]:
         raw = [t.encode() for t in texts]
         split = [b.split() if len(b) <= SLICE else [] for b in raw]
