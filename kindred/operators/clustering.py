@@ -15,7 +15,7 @@ from kindred.session import settled
 
 #: Pairs below are not looked at for merging; every pair across two clusters needs that much direct evidence.
 CONSIDERED, DIRECT = 0.5, 0.5
-RANKS = {"auto_match": 0, "auto_jev": 1, "manual_review": 2, "possible_match": 3}
+RANKS = {"auto_match": 0, "auto_jev": 1, "manual_review": 2, "possible_match": 2}
 
 
 class Clusters:
@@ -35,18 +35,17 @@ class Clusters:
         return n
 
     def obstacle(self, a: str, b: str) -> str | None:
-        """Why the clusters of two records can't be one, if so."""
+        """Why the clusters of two records can't be one person, if so."""
         a, b = self.find(a), self.find(b)
         if self.elections[a] & self.elections[b]:
             return "conflict_election_clash"
         lo, hi = max(self.windows[a][0], self.windows[b][0]), min(self.windows[a][1], self.windows[b][1])
-        if lo > hi:
-            return "conflict_birth_clash"
-        for x in self.members[a]:
-            for y in self.members[b]:
-                if self.direct.get((x, y), self.direct.get((y, x), 0.0)) < DIRECT:
-                    return "conflict_transitive"
-        return None
+        return "conflict_birth_clash" if lo > hi else None
+
+    def direct_enough(self, a: str, b: str) -> bool:
+        """Every pair across two clusters has direct evidence."""
+        pairs = ((x, y) for x in self.members[self.find(a)] for y in self.members[self.find(b)])
+        return all(self.direct.get((x, y), self.direct.get((y, x), 0.0)) >= DIRECT for x, y in pairs)
 
     def merge(self, a: str, b: str) -> None:
         a, b = self.find(a), self.find(b)
@@ -66,23 +65,23 @@ def decide(nodes: dict[str, tuple[int, int, int]], edges: list[dict]) -> tuple[l
     order = sorted((i for i, e in enumerate(edges) if e["p"] >= CONSIDERED), key=lambda i: (RANKS[edges[i]["proposal"]], -edges[i]["p"], edges[i]["pe_a"], edges[i]["pe_b"]))
     decisions = ["no_match"] * len(edges)
     for i in order:
-        e = edges[i]
-        if e["split"]:
-            decisions[i] = "manual_review_namesake"
-        elif clusters.find(e["pe_a"]) == clusters.find(e["pe_b"]):
+        e, (a, b) = edges[i], (edges[i]["pe_a"], edges[i]["pe_b"])
+        if e["split"]:  # a record that holds two namesakes is never merged
+            decisions[i] = "possible_match" if e["proposal"] == "possible_match" else "manual_review_namesake"
+        elif clusters.find(a) == clusters.find(b):
             decisions[i] = "implied"
+        elif why := clusters.obstacle(a, b):
+            decisions[i] = "no_match" if e["proposal"] == "possible_match" else why
+        elif not e["proposal"].startswith("auto"):
+            decisions[i] = e["proposal"]
+        elif not clusters.direct_enough(a, b):
+            decisions[i] = "conflict_transitive"
         else:
-            why = clusters.obstacle(e["pe_a"], e["pe_b"])
-            if e["proposal"].startswith("auto"):
-                decisions[i] = why or e["proposal"]
-                if not why:
-                    clusters.merge(e["pe_a"], e["pe_b"])
-            elif e["proposal"] == "manual_review":
-                decisions[i] = why or "manual_review"
-            else:
-                decisions[i] = "no_match" if why else "possible_match"
+            decisions[i] = e["proposal"]
+            clusters.merge(a, b)
     for i in order:
-        if decisions[i] in ("manual_review", "possible_match") and clusters.find(edges[i]["pe_a"]) == clusters.find(edges[i]["pe_b"]):
+        e = edges[i]
+        if decisions[i] in ("manual_review", "possible_match") and not e["split"] and clusters.find(e["pe_a"]) == clusters.find(e["pe_b"]):
             decisions[i] = "implied"
     return decisions, {n: min(clusters.members[clusters.find(n)]) for n in nodes}
 

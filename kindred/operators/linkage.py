@@ -45,11 +45,12 @@ def geo_level(fields: Sequence[tuple[str, str, bool]], other: str = "other") ->
     return out.otherwise(other)
 
 
-def shared_level(field: str) -> Column:
-    """na / 0 / 1 / 2+ shared members of two sets."""
+def shared_level(field: str, within: str | None = None) -> Column:
+    """na / 0 / 1 / 2+ shared members of two sets. na: a set is empty or, if `within` is given, the rows differ in it."""
     a, b = F.col(f"{field}_a"), F.col(f"{field}_b")
     n = F.size(F.array_intersect(a, b))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), "na").when(n == 0, "0").when(n == 1, "1").otherwise("2+")
+    apart = (F.size(a) == 0) | (F.size(b) == 0) if within is None else F.col(f"{within}_a") != F.col(f"{within}_b")
+    return F.when(apart, "na").when(n == 0, "0").when(n == 1, "1").otherwise("2+")
 
 
 def party_level(field: str, none: str) -> Column:
@@ -62,7 +63,7 @@ def titles_level(field: str) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), "none").when(F.array_sort(a) == F.array_sort(b), "same").when((F.size(F.array_except(a, b)) == 0) & (F.size(a) < F.size(b)), "gained").otherwise("other")
 
 
-def occupation_level(field: str, group: str, retired: str, student: str, similar: float = 0.3) -> Column:
+def occupation_level(field: str, group: str, retired: str, student: str, similar: float = 0.5) -> Column:
     """missing > same > to_retired > from_student > similar > same_field > diff, the first that holds."""
     a, b = F.col(f"{field}_a"), F.col(f"{field}_b")
     union = F.size(F.array_union(a, b))
@@ -71,7 +72,7 @@ def occupation_level(field: str, group: str, retired: str, student: str, similar
         .when(F.array_sort(a) == F.array_sort(b), "same")
         .when(F.col(f"{retired}_b") & ~F.col(f"{retired}_a"), "to_retired")
         .when(F.col(f"{student}_a") & ~F.col(f"{student}_b"), "from_student")
-        .when(F.size(F.array_intersect(a, b)) / F.greatest(union, F.lit(1)) >= similar, "similar")
+        .when((F.size(F.array_intersect(a, b)) / F.greatest(union, F.lit(1)) >= similar) | (F.size(F.array_except(a, b)) == 0) | (F.size(F.array_except(b, a)) == 0), "similar")
         .when(known_and_equal(group), "same_field")
         .otherwise("diff")
     )
