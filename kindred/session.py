@@ -13,6 +13,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -58,10 +60,16 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
-    """df written once to the shared folder and read back: a cut lineage that survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """df written once to the shared folder and read back: a cut lineage that survives lost executors. Its shuffle files
+    aren't needed after that and go at once."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship(spark: SparkSession) -> None:
