@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import shutil
 import tempfile
@@ -74,18 +75,20 @@ def settled(df: DataFrame, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Gives the executors this package, once for each application, so that Python functions load there wherever the
-    driver was started. Spark's own file server hands it out."""
+    driver was started."""
     context = spark.sparkContext
     if getattr(context, "_kindred_shipped", False):
         return
-    root = Path(__file__).parent
-    folder = tempfile.mkdtemp(prefix="kindred-package-")  # the driver's file server reads it as long as the application runs
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    archive = f"{folder}/kindred-package.zip"
+    root, archive = Path(__file__).parent, io.BytesIO()
     with zipfile.ZipFile(archive, "w") as file:
         for source in sorted(root.rglob("*.py")):
             file.write(source, str(source.relative_to(root.parent)))
-    context.addPyFile(archive)
+    # into the shared folder by Hadoop's own writer, whatever store that is in
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch(spark, 'package')}/kindred-package.zip")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(archive.getvalue()))
+    out.close()
+    context.addPyFile(path.toString())
     context._kindred_shipped = True
 
 
