@@ -34,6 +34,11 @@ UNDER, OVER = 80, 100
 #: Sets of a bounded sample from which common columns are told: its size and the sets a column has to be in. The order of
 #: columns decides speed only; links are the same with any order.
 SAMPLE_SETS, COMMON_SETS, COMMON_COLUMNS = 20_000, 8, 200_000
+#: Bits of the filter that picks documents by their ids' hashes, and bytes of one of Spark's bitmaps.
+SIEVE_BITS, BITMAP_BYTES = 1 << 24, 4096
+#: Parts in which candidate pairs are multiplied.
+SLICES = 4
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -177,8 +182,20 @@ def entries(rows: DataFrame, rare: bool) -> DataFrame:
     return rows.select("doc", "n", "digest", "lead", "n_rare").mapInArrow(run, ENTRY_SCHEMA)
 
 
+def has_partner(column: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a column's row has another one there that sizes and the index rule allow a pair with. Columns are whole."""
+    if not len(column):
+        return np.zeros(0, bool)
+    group = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]])).astype(np.int64) << 32
+    index = at < n - -(-2 * UNDER * n // (OVER + UNDER)) + 1
+    sizes, indexed = np.sort(group + n), np.sort((group + n)[index])
+    smaller = np.searchsorted(indexed, group + n, side="right") - np.searchsorted(indexed, group + -(-UNDER * n // OVER), side="left") - index
+    larger = np.searchsorted(sizes, group + OVER * n // UNDER, side="right") - np.searchsorted(sizes, group + n, side="left") - 1
+    return (smaller > 0) | (index & (larger > 0))
+
+
 def shared_only(sorted_entries: DataFrame) -> DataFrame:
-    """Entries of columns with several rows, from partitions that hold columns whole and in order."""
+    """Entries that can make a pair within their column, from partitions that hold columns whole and in order."""
 
     def run(batches):
         held = None
@@ -200,38 +217,65 @@ def shared_only(sorted_entries: DataFrame) -> DataFrame:
         same = np.zeros(len(column) + 1, bool)
         same[1:-1] = column[1:] == column[:-1]
         block = block[:, same[1:] | same[:-1]]
+        block = block[:, has_partner(*block[[0, 2, 3]])]
         return pa.RecordBatch.from_arrays([pa.array(block[0]), pa.array(block[1]), pa.array(block[2].astype(np.int32)), pa.array(block[3].astype(np.int32))], ["column", "doc", "n", "at"])
 
     return sorted_entries.mapInArrow(run, ENTRY_SCHEMA)
 
 
-def _bounded(pairs: DataFrame) -> DataFrame:
-    """Pairs (x_, y_: doc, n, at of both sides of a column) that sizes and index rule allow, x the one that is not larger;
-    overlap counts add up by pair, and those that can't reach the threshold any more go."""
+def _bounded(pairs: DataFrame, best: bool) -> DataFrame:
+    """(x, y) of the pairs (x, y, and of each n and its place in a column) that sizes and index rule allow, x the one that
+    is not larger; overlap counts add up by pair, and those that can't reach the threshold any more go. best: of the pairs
+    of one y only that of the largest overlap so far stays, for rounds that needn't be complete."""
     swap = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y")))
 
     def pick(a: str, b: str):
         return F.when(swap, F.col(b)).otherwise(F.col(a))
 
-    turned = pairs.select(pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ax", "ay").alias("ax"), pick("ay", "ax").alias("ay"))
+    turned = pairs.select(F.col("y").alias("own"), pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ax", "ay").alias("ax"), pick("ay", "ax").alias("ay"))
     turned = turned.where((OVER * F.col("nx") >= UNDER * F.col("ny")) & (F.col("ax") < F.col("nx") - F.ceil(F.lit(2 * UNDER) * F.col("nx") / (OVER + UNDER)) + 1))
-    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.count("*").alias("overlap"), F.max("ax").alias("ax"), F.max("ay").alias("ay"))
+    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.min("own").alias("own"), F.count("*").alias("overlap"), F.max("ax").alias("ax"), F.max("ay").alias("ay"))
     most = F.col("overlap") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) - 1
-    return counted.where((OVER + UNDER) * most >= UNDER * (F.col("nx") + F.col("ny"))).select("x", "y")
-
-
-def packed_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(doc, set) of the wanted documents, sets packed."""
+    able = counted.where((OVER + UNDER) * most >= UNDER * (F.col("nx") + F.col("ny")))
+    if not best:
+        return able.select("x", "y")
+    return able.groupBy("own").agg(F.max(F.struct("overlap", "x", "y")).alias("_p")).select("_p.x", "_p.y").distinct()
+
+
+def sieve(wanted: DataFrame) -> np.ndarray:
+    """A bit for each hash of a wanted document: a filter of a fixed size, however many there are."""
+    spot = F.pmod(F.xxhash64("doc"), F.lit(SIEVE_BITS))
+    bits = wanted.where("doc is not null").select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
+    rows = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    out = np.zeros((SIEVE_BITS // (8 * BITMAP_BYTES) + 2, BITMAP_BYTES), np.uint8)
+    for row in rows:
+        out[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
+def sifted(rows: DataFrame, wanted: DataFrame, payload: str, name: str) -> DataFrame:
+    """Settled (doc, set) of the wanted documents, from the payload column: texts, or packed sets as they are. A filter of
+    fixed size picks them where they are read, so nothing else travels; a few others may come along."""
+    packed = dict(rows.dtypes)[payload] == "binary"
+    shared = rows.sparkSession.sparkContext.broadcast(sieve(wanted))
+    spot = F.pmod(F.xxhash64("doc"), F.lit(SIEVE_BITS))
 
     def run(batches):
+        bits = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["doc", "set"])
+            bucket, bit = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            kept = batch.filter(pa.array(bits[bucket, bit >> 3] >> (bit & 7) & 1 == 1))
+            found = kept.column(3) if packed else pa.array([shingle_set(t).tobytes() for t in kept.column(3).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([kept.column(0), found], ["doc", "set"])
 
-    return docs.join(wanted, "doc", "left_semi").select("doc", "text").mapInArrow(run, "doc long, set binary")
+    picked = rows.select("doc", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"), payload)
+    out = settled(picked.mapInArrow(run, "doc long, set binary"), name)
+    shared.destroy()
+    return out
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose exact overlap reaches the threshold."""
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Pairs whose exact overlap reaches the threshold; None without pairs."""
 
     def run(batches):
         for batch in batches:
@@ -246,8 +290,18 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             kept = batch.filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
 
-    both = pairs.join(sets.select(F.col("doc").alias("x"), F.col("set").alias("sx")), "x").join(sets.select(F.col("doc").alias("y"), F.col("set").alias("sy")), "y")
-    return both.select("x", "y", "sx", "sy").mapInArrow(run, "a long, b long")
+    # slice by slice, so that packed rows of a fraction of the pairs are on the way at a time
+    found = None
+    if pairs.isEmpty():
+        return None
+    left = sifted(sets, pairs.select(F.col("x").alias("doc")), "set", "left-sets")
+    for part in range(SLICES):
+        own = pairs.where(F.pmod(F.xxhash64("y"), F.lit(SLICES)) == part)
+        right = sets.where(F.pmod(F.xxhash64("doc"), F.lit(SLICES)) == part)
+        both = own.join(right.select(F.col("doc").alias("y"), F.col("set").alias("sy")), "y").join(left.select(F.col("doc").alias("x"), F.col("set").alias("sx")), "x")
+        links = settled(both.select("x", "y", "sx", "sy").mapInArrow(run, "a long, b long"), "links")
+        found = links if found is None else found.unionByName(links)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -321,16 +375,19 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rare = shared_only(entries(filled, True).repartition("column").sortWithinPartitions("column"))
     found = rare.unionByName(entries(filled, False)).join(members.select("doc", "rep"), "doc")
     buckets = settled(found.select("column", F.col("rep").alias("doc"), "n", "at").distinct(), "buckets")
-    sets = settled(packed_sets(docs, buckets.select("doc").distinct()), "sets")
-
     twins = members.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
     parts = None if twins.isEmpty() else _relabelled(None, twins)
-    for head, paired in ((F.min, _with_head), (F.max, _with_head), (F.min, _all_across)):
+    sets = None
+    for head, paired, best in ((F.min, _with_head, True), (F.max, _with_head, True), (F.min, _all_across, False)):
         held = _contested(_placed(buckets, parts), head)
         if held.isEmpty():
             break
-        edges = settled(linked(settled(_bounded(paired(held)), "pairs"), sets), "links")
-        if not edges.isEmpty():
+        # columns of one component have no pairs to give any more
+        buckets = held.select("column", "doc", "n", "at")
+        if sets is None:
+            sets = sifted(docs, buckets.select("doc"), "text", "sets")
+        edges = linked(settled(_bounded(paired(held), best), "pairs"), sets)
+        if edges is not None and not edges.isEmpty():
             parts = _relabelled(parts, edges)
 
     named = members.select("doc", "rep")
