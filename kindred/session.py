@@ -15,6 +15,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -60,16 +61,19 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
+def settled(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """df written once to the shared folder and read back: a cut lineage that survives lost executors. Its shuffle files
-    aren't needed after that and go at once."""
+    aren't needed after that and go at once. batch: rows that Python functions get at a time, for wide rows."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    own = {_CLEANUP: "true"} | ({_BATCH: str(batch)} if batch else {})
+    before = {key: spark.conf.get(key) for key in own}
     try:
+        for key, value in own.items():
+            spark.conf.set(key, value)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
