@@ -38,6 +38,8 @@ SAMPLE_SETS, COMMON_SETS, COMMON_COLUMNS = 20_000, 8, 200_000
 SIEVE_BITS, BITMAP_BYTES = 1 << 24, 4096
 #: Parts in which candidate pairs are multiplied.
 SLICES = 4
+#: Rows with texts or packed sets that Python gets at a time.
+WIDE_BATCH = 1000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -269,7 +271,7 @@ def sifted(rows: DataFrame, wanted: DataFrame, payload: str, name: str) -> DataF
             yield pa.RecordBatch.from_arrays([kept.column(0), found], ["doc", "set"])
 
     picked = rows.select("doc", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"), payload)
-    out = settled(picked.mapInArrow(run, "doc long, set binary"), name)
+    out = settled(picked.mapInArrow(run, "doc long, set binary"), name, WIDE_BATCH)
     shared.destroy()
     return out
 
@@ -279,10 +281,10 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame | None:
 
     def run(batches):
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = np.zeros(len(left), bool)
-            for i, (a, b) in enumerate(zip(left, right, strict=True)):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+            keep = np.zeros(batch.num_rows, bool)
+            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                # views of the batch, no copies
+                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 small, large = (a, b) if len(a) <= len(b) else (b, a)
                 at = np.searchsorted(large, small)
                 common = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
@@ -299,7 +301,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame | None:
         own = pairs.where(F.pmod(F.xxhash64("y"), F.lit(SLICES)) == part)
         right = sets.where(F.pmod(F.xxhash64("doc"), F.lit(SLICES)) == part)
         both = own.join(right.select(F.col("doc").alias("y"), F.col("set").alias("sy")), "y").join(left.select(F.col("doc").alias("x"), F.col("set").alias("sx")), "x")
-        links = settled(both.select("x", "y", "sx", "sy").mapInArrow(run, "a long, b long"), "links")
+        links = settled(both.select("x", "y", "sx", "sy").mapInArrow(run, "a long, b long"), "links", WIDE_BATCH)
         found = links if found is None else found.unionByName(links)
     return found
 
@@ -365,7 +367,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(doc_id, n_shingles, component_id) of every row."""
     source = narrowed(df, doc=(id_col, "long"), text=(text_col, "string"))
     docs = source.where(F.col("doc").isNotNull())
-    rows = settled(incidence(source, *common_columns(docs)), "incidence")
+    rows = settled(incidence(source, *common_columns(docs)), "incidence", WIDE_BATCH)
     filled = rows.where("doc is not null and n > 0")
     classes = settled(filled.groupBy("digest").agg(F.min("doc").alias("rep")), "classes")
     # rows that share an id are one document: their sets' classes are linked
