@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import held_out, narrowed
+from kindred.session import settled
 
 #: Labelled documents of each class that rules are learned from (the smallest hashes of their ids).
 SAMPLE_PER_CLASS = 1500
@@ -182,18 +183,22 @@ def rejects(rules: list[Rule]) -> Column:
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> list[Rule]:
-    """Rules from labelled documents outside the held-out third that pass the base rule."""
+    """Rules from labelled documents outside the held-out third that are in docs and pass the base rule. The sample is drawn
+    from those, so that a sampled row stands for as many as its class has of them by sampled ones."""
     marked = narrowed(labels, doc_id=("doc_id", "long"), label=(label_col, "double")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
+    texts = narrowed(docs, doc_id=("doc_id", "long"), text=("text", "string")).where(~held_out("doc_id"))
+    passing = statistics(texts).where(~F.col("base_failed")).select("doc_id").distinct()
+    marked = settled(marked.join(passing, "doc_id"), "labelled")
     sample = [marked.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    # 2 x per_class rows of two numbers: a fixed size
-    texts = narrowed(docs, doc_id=("doc_id", "long"), text=("text", "string")).join(F.broadcast(sample[0].unionByName(sample[1])), "doc_id")
+    # 2 x per_class rows of two numbers: a fixed size. Settled, so that statistics are of the sample's texts only
+    texts = settled(texts.join(F.broadcast(sample[0].unionByName(sample[1])), "doc_id"), "sampled-texts")
     found = statistics(texts).where(~F.col("base_failed")).select("doc_id", "label", *FEATURES).dropDuplicates(["doc_id"]).collect()
-    shares = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    total = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
     own = {c: sum(r["label"] == c for r in found) for c in (0, 1)}
     if not own[0] or not own[1]:
         return []
-    return learn([r.asDict() for r in found], shares[1] / shares[0] * own[0] / own[1])
+    return learn([r.asDict() for r in found], (total[1] / own[1]) / (total[0] / own[0]))
 
 
 def judged(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:

@@ -56,6 +56,19 @@ def test_learned_rules_are_readable_and_apply_in_order():
     assert quality_rules.learn([]) == [] and quality_rules.learn([r for r in rows if r["label"]]) == []
 
 
+def test_sample_and_weight_are_of_documents_that_can_be_judged(spark, monkeypatch):
+    free = [i for i in range(600) if zlib.crc32(str(i).encode()) % 3 != 1]
+    marks = {i: int(k >= 100) for k, i in enumerate(free[:300])}
+    long, bad = " ".join(f"w{k}" for k in range(60)), [i for i, q in marks.items() if not q]
+    texts = [(i, long) for i, q in marks.items() if q] + [(i, long) for i in bad[:20]] + [(i, "short") for i in bad[20:60]]  # 40 of label 0 are gone
+    seen = []
+    monkeypatch.setattr(quality_rules, "learn", lambda rows, weight: seen.append((rows, weight)) or [])
+    quality_rules.learn_from(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(list(marks.items()), "doc_id long, quality int"), per_class=50)
+    (rows, weight), = seen
+    assert collections.Counter(r["label"] for r in rows) == {0: 20, 1: 50}
+    assert abs(weight - (200 / 50) / (20 / 20)) < 1e-9
+
+
 def test_kept_rows_keep_their_columns(spark, docs):
     out = quality_rules.kept(docs, [])
     assert out.columns == docs.columns and out.count() == sum(not statistics(r.text)[-1] for r in docs.collect())
