@@ -9,8 +9,9 @@ Reading. Files are read as records by that separator. Continuations are grouped
 joined and checked against the total length; then the chunked framing is decoded. Records of one segment need no grouping.
 
 Of records with equal payloads of at least REVISIT_FROM bytes the one with the largest id is the response, the others
-are revisits that refer to it and have no body. A null payload is empty. Equal rows are equal records. A record whose
-id is null is written and read like others, but nothing refers to it and it never revisits. An empty table gives an empty
+are revisits that refer to it and have no body. A null payload is empty. Every row is a record of its own, named by the
+page's id and a UUID, so repeated rows and rows without an id come back one by one. A record whose id is null is written
+and read like others, but nothing refers to it and it never revisits. An empty table gives an empty
 archive.
 """
 
@@ -20,7 +21,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm.common import narrowed
@@ -92,34 +93,37 @@ def revisit_record(record_id: str, uri: str, digest: str, refers_to: str) -> byt
     )
 
 
-def record_name(page_id) -> str:
-    return f"urn:page:{'' if page_id is None else page_id}"
+def page_of(name: str) -> Column:
+    """The page id in a column of record names."""
+    return F.expr(f"try_cast(substring_index(substring_index({name}, 'urn:page:', -1), ':', 1) as long)")
 
 
 def write(df: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> None:
-    """Writes gzip'd WARC files to the folder. Equal payloads are found by digest and length; the aggregate leaves a row for
-    each task and payload, and the join back is one that Spark splits where a payload is common."""
+    """Writes gzip'd WARC files to the folder. Records are named first, in a settled table, as names have to stay the same
+    where others refer to them. Equal payloads are found by digest and length; the aggregate leaves a row for each task and
+    payload, and the join back is one that Spark splits where a payload is common."""
     pages = narrowed(df, id=(id_col, "long"), url=(url_col, "string"), payload=(payload_col, "string"))
     pages = pages.withColumn("payload", F.coalesce("payload", F.lit("")).cast("binary"))
-    pages = pages.withColumns({"digest": F.unhex(F.sha1("payload")), "length": F.octet_length("payload")})
+    name = F.concat(F.lit("urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.expr("uuid()"))
+    pages = settled(pages.withColumns({"digest": F.unhex(F.sha1("payload")), "length": F.octet_length("payload"), "name": name}), "named-pages")
     large = pages.where((F.col("length") >= REVISIT_FROM) & F.col("id").isNotNull())
-    repeated = large.groupBy("digest", "length").agg(F.max("id").alias("newest"), F.min("id").alias("oldest")).where("newest > oldest")
-    repeated = settled(repeated.select("digest", "newest"), "repeated-payloads")
+    repeated = large.groupBy("digest", "length").agg(F.max(F.struct("id", "name")).alias("newest"), F.min("id").alias("oldest")).where("newest.id > oldest")
+    repeated = settled(repeated.select("digest", F.col("newest.id").alias("newest"), F.col("newest.name").alias("target")), "repeated-payloads")
     marked = pages.join(repeated, "digest", "left")
 
     def records(batches):
         for batch in batches:
             out = []
-            ids, urls, payloads, newest = (batch.column(i).to_pylist() for i in range(4))
-            for page, url, payload, last in zip(ids, urls, payloads, newest, strict=True):
+            ids, names, urls, payloads, newest, targets = (batch.column(i).to_pylist() for i in range(6))
+            for page, own, url, payload, last, target in zip(ids, names, urls, payloads, newest, targets, strict=True):
                 digest, uri = hashlib.sha1(payload).hexdigest(), re.sub(r"[\r\n]", " ", url) if url else "urn:none"
                 if last is not None and page is not None and page != last:
-                    out.append(revisit_record(record_name(page), uri, digest, record_name(last)))
+                    out.append(revisit_record(own, uri, digest, target))
                 else:
-                    out += response_records(record_name(page), uri, payload, digest)
+                    out += response_records(own, uri, payload, digest)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    lines = marked.select("id", "url", "payload", "newest").mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
+    lines = marked.select("id", "name", "url", "payload", "newest", "target").mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", _END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
@@ -144,6 +148,17 @@ def parse(line: bytes) -> tuple | None:
     return name(b"warc-record-id"), fields.get(b"warc-type"), fields.get(b"warc-target-uri"), name(b"warc-refers-to"), name(b"warc-segment-origin-id"), segment and int(segment), total and int(total), digest and digest.partition(":")[2], rest[:length]
 
 
+def parsed(line: bytes):
+    """The records of a line, one as a rule. The reader can miss a separator that goes over the end of its buffer, since
+    what comes before it looks like its beginning; the length of a block tells where the next record begins."""
+    while row := parse(line):
+        yield row
+        line = line[line.index(_END) + len(_END) + len(row[-1]) :]
+        if not line.startswith(_END + _MARK):
+            return
+        line = line.removeprefix(_END + _MARK)
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """All records of a folder of archives."""
     lines = spark.read.option("lineSep", (_END + _MARK).decode()).text(path).select(F.col("value").cast("binary").alias("line"))
@@ -152,7 +167,7 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.binary())
         names = ["record_id", "record_type", "target_uri", "refers_to", "origin_id", "segment", "total_length", "payload_digest", "block"]
         for batch in batches:
-            rows = [r for line in batch.column(0).to_pylist() if (r := parse(line.removeprefix(_MARK)))]
+            rows = [r for line in batch.column(0).to_pylist() for r in parsed(line.removeprefix(_MARK))]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 9, kinds, strict=True)], names)
 
     return lines.mapInArrow(run, RECORD_SCHEMA)
@@ -163,8 +178,6 @@ def reassembled(found: DataFrame) -> DataFrame:
     run from 1 and the lengths to add up to the total."""
     single = found.where("segment is null").drop("origin_id", "segment", "total_length")
     parts = found.where("segment is not null").withColumn("origin", F.coalesce("origin_id", "record_id"))
-    # a repeated row brings its segments again: each counts once
-    parts = parts.dropDuplicates(["origin", "segment"])
     own = F.col("segment") == 1
     groups = parts.groupBy("origin").agg(
         F.max(F.when(own, F.col("record_type"))).alias("record_type"),
@@ -209,17 +222,17 @@ def op1(pages: DataFrame) -> DataFrame:
     found = read(spark, path)
     # a revisit has no body of its own; length and digest are those of the full payload it stands for
     found = found.select(
-        F.expr("try_cast(substring_index(record_id, ':', -1) as long)").alias("page_id"),
+        "record_id",
         F.octet_length("payload").cast("long").alias("length"),
         F.sha1("payload").alias("own_digest"),
         F.col("payload_digest"),
         "record_type",
-        F.expr("try_cast(substring_index(refers_to, ':', -1) as long)").alias("refers_to"),
+        "refers_to",
     )
     found = settled(found, "archive-index")
-    first = found.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), F.col("length").alias("full"))
+    first = found.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("length").alias("full"))
     targets = found.where("record_type = 'revisit'").select("refers_to").distinct()
-    known = settled(first.join(targets, "refers_to", "left_semi").distinct(), "revisited")
-    revisits = found.where("record_type = 'revisit'").join(known, "refers_to", "left").select("page_id", F.col("full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
-    responses = found.where("record_type <> 'revisit'").select("page_id", F.col("length").alias("payload_bytes"), F.col("own_digest").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
+    known = settled(first.join(targets, "refers_to", "left_semi"), "revisited")
+    revisits = found.where("record_type = 'revisit'").join(known, "refers_to", "left").select(page_of("record_id").alias("page_id"), F.col("full").alias("payload_bytes"), "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
+    responses = found.where("record_type <> 'revisit'").select(page_of("record_id").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("own_digest").alias("payload_digest"), "record_type", F.lit(None).cast("long").alias("refers_to"))
     return responses.unionByName(revisits)

@@ -139,6 +139,27 @@ def test_op1_over_odd_pages(spark):
     assert warc.op1(df.limit(0)).count() == 0
 
 
+def test_op1_keeps_repeated_and_unnamed_pages_of_several_segments(spark):
+    a, b = "a" * (warc.SEGMENT + 9), "b" * (2 * warc.SEGMENT + 9)
+    rows = [(1, "u", a), (1, "u", a), (None, "u", a), (None, "u", a), (None, "u", b), (2, "u", b), (2, "u", "c" * 2000), (0, "u", b), (0, "u", b), (3, "u", "d"), (3, "u", "d")]
+    df = spark.createDataFrame([(i, u, h, "d", 1, "b") for i, u, h in rows], PAGES).repartition(3)
+    found = warc.op1(df).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
+    assert collections.Counter(map(tuple, found)) == brute_pages(rows)
+    path = scratch(spark, "warc")
+    warc.write(df, path)
+    names = [r.record_id for r in warc.read(spark, path).collect()]
+    assert len(names) == len(rows) == len(set(names))
+    targets = [r.refers_to for r in warc.read(spark, path).collect() if r.refers_to]
+    assert len(targets) == 2 and set(targets) <= set(names)
+
+
+def test_records_that_the_reader_left_together_are_told_apart():
+    made = [r for k in range(3) for r in warc.response_records(f"urn:page:{k}:x", "u", b"hello" * k, "d")]
+    line = b"\r\n\r\n".join(made).removeprefix(b"WARC/1.1\r\n")
+    assert [r[0] for r in warc.parsed(line)] == ["urn:page:0:x", "urn:page:1:x", "urn:page:2:x"]
+    assert [r[0] for r in warc.parsed(line + b"\r\n\r\n")] == ["urn:page:0:x", "urn:page:1:x", "urn:page:2:x"]
+
+
 def test_segments_come_back_in_any_order_and_gaps_are_errors(spark):
     payload = random.Random(2).randbytes(700_000)
     parts = [warc.parse(r.removeprefix(b"WARC/1.1\r\n")) for r in warc.response_records("urn:page:1", "u", payload, "d")]
