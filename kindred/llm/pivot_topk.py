@@ -9,7 +9,7 @@ which no query can improve on its k-th score is passed over. Scores are exact in
 
 Null vectors and those with null or non-finite components take no part; neither do those whose scaled components exceed
 2**31. Shorter vectors count as filled up with zeros. A vector is never its own answer; further rows of its id are not
-either. Ties go to the smaller id. Without vectors the result is empty. Other columns are not read.
+either. An id of several rows is one answer, by its best score. Ties go to the smaller id. Without vectors the result is empty. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -104,6 +104,15 @@ class Pivots:
         return np.sqrt(np.maximum(far2, 0)) + 1e-6 * np.sqrt(self.norm2 + 1) + 1e-6
 
 
+def once(ids: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id of a block once, with its best score for each query."""
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) != 0]))
+    if len(starts) >= len(ids):
+        return ids, scores
+    return ids[order][starts], np.maximum.reduceat(scores[:, order], starts, axis=1)
+
+
 class Best:
     """The k best (score, smaller id first) for each query so far."""
 
@@ -115,6 +124,7 @@ class Best:
 
     def offer(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Scores of some queries against a block."""
+        ids, scores = once(ids, scores)
         own = ids[None] == self.ids[rows][:, None]
         scores = np.where(own, LOW, scores)
         k = min(self.k, scores.shape[1])
@@ -127,9 +137,10 @@ class Best:
             s, f = np.concatenate([self.scores[row], scores[i, at]]), np.concatenate([self.found[row], ids[at]])
             order = np.lexsort((f, -s))
             s, f = s[order], f[order]
-            if len(f) > 1:  # a repeated row of an id counts once
-                fresh = np.concatenate([[True], (f[1:] != f[:-1]) | (f[1:] == NONE)])
-                s, f = s[fresh], f[fresh]
+            # an id of other blocks counts once, by its best score
+            fresh = f == NONE
+            fresh[np.unique(f, return_index=True)[1]] = True
+            s, f = s[fresh], f[fresh]
             self.scores[row], self.found[row] = s[: self.k], f[: self.k]
             if self.found[row, -1] != NONE:
                 self.floor[row] = max(self.floor[row], self.scores[row, -1])
@@ -239,7 +250,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     if results is None:
         return empty
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = settled(results, "found").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    # an id's rows may come from several tasks; one exchange serves the aggregate and the window
+    distinct = settled(results, "found").repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 

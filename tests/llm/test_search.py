@@ -112,6 +112,26 @@ def test_op4_in_small_blocks_and_batches(spark, monkeypatch):
     assert set(map(tuple, pivot_topk.op4(df).collect())) == brute_top(rows)
 
 
+def test_op4_counts_repeated_ids_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(np.float32(c)) for c in rng.normal(size=4)]) for i in range(120)]
+    rows += [(503, [3.0, 3.0, 3.0, 3.0])] * 40 + [(505, [-3.0, 3.0, -3.0, 3.0])] * 3
+    rows += [(7, [float(np.float32(c)) for c in rng.normal(size=4)]) for _ in range(30)]  # one id, several vectors
+    df = spark.createDataFrame([(i, v, 0, "p", "q") for i, v in rows], VECTORS).repartition(3)
+    ints = [(i, [int(np.floor(64 * c)) for c in v]) for i, v in rows]
+    want = set()
+    for q, x in ints[:120:20]:
+        best = {}
+        for i, y in ints:
+            if i != q:
+                best[i] = max(best.get(i, -(2**60)), sum(a * b for a, b in zip(x, y)))
+        want |= {(q, r, i, -s) for r, (s, i) in enumerate(sorted((-s, i) for i, s in best.items())[:20], 1)}
+    for block in (1024, 7):
+        monkeypatch.setattr(pivot_topk, "BLOCK", block)
+        found = list(map(tuple, pivot_topk.op4(df).collect()))
+        assert len(found) == 20 * 6 and set(found) == want
+
+
 PAGES = "page_id long, url string, html string, digest string, `LENGTH` int, block string"
 
 
