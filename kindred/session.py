@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import io
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -44,10 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: the cluster's spark.checkpoint.dir.
 
-    Only where the cluster names none (tests in one process) a temporary one is set.
+    Only where none is named and everything runs in one process (tests) a temporary one is set; a cluster without one is
+    an error, as its machines don't see each other's folders.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="kindred-")
         atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
@@ -74,7 +78,18 @@ def settled(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._kindred_path = path
+    return table
+
+
+def discarded(*tables: DataFrame | None) -> None:
+    """Removes settled tables that nothing will read again: what was made of them is settled itself."""
+    for table in tables:
+        if path := getattr(table, "_kindred_path", None):
+            spark = table.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ship(spark: SparkSession) -> None:
