@@ -7,18 +7,22 @@ rows. The product runs block by block:
   |x| - ceil(t |x|) + 1 columns, or fewer on the side that is not larger); it is multiplied by a join on the column, which
   accumulates overlap counts of candidate pairs and the places of their last common column,
 * pairs are discarded where the sizes, or the overlap so far and what is left of both rows, cannot reach the threshold,
-* the rest of the row is multiplied for the pairs that are left, on packed rows, which gives exact overlaps.
+* the rest is multiplied for the pairs that are left, in tiles of one row by many: columns go block by block, overlaps add
+  up over the blocks, and a pair goes as soon as what is left of both rows is too little. What remains has exact overlaps.
 
-Groups of copies take no quadratic work: equal sets are one row from the start. Pairs of a column come in rounds. In the
+Groups of copies take no quadratic work: equal sets are one row (a node) from the start. Pairs of a column come in rounds. In the
 first rounds each column pairs its rows with one of them only; linked rows become one component. The last round pairs
 what is left in columns that still hold several components, and only rows of different components.
 
 A row whose id is null, and a text without words, links with nothing. A null text counts as one without words. Shingles
-are compared by 64-bit digests. Repeated rows are members of one class. Only the id and the text are read.
+are compared by 64-bit digests. Rows that share an id are one document: all its texts' links count. Only the id and the
+text are read.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import narrowed
-from kindred.session import settled
+from kindred.session import discarded, settled
 
 SHINGLE = 5
 #: Two documents link when OVER * overlap >= UNDER * union.
@@ -36,8 +40,8 @@ UNDER, OVER = 80, 100
 SAMPLE_SETS, COMMON_SETS, COMMON_COLUMNS = 20_000, 8, 200_000
 #: Bits of the filter that picks documents by their ids' hashes, and bytes of one of Spark's bitmaps.
 SIEVE_BITS, BITMAP_BYTES = 1 << 24, 4096
-#: Parts in which candidate pairs are multiplied.
-SLICES = 4
+#: Parts in which tiles are multiplied, rows in a tile that its first row is multiplied with, and blocks of columns.
+PARTS, TILE, BLOCKS = 4, 512, 4
 #: Rows with texts or packed sets that Python gets at a time.
 WIDE_BATCH = 1000
 
@@ -136,7 +140,7 @@ def leading_block(own: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tu
 
 
 ROW_SCHEMA = "doc long, n int, digest binary, lead binary, n_rare int"
-ENTRY_SCHEMA = "column long, doc long, n int, at int"
+ENTRY_SCHEMA = "column long, node long, n int, at int"
 
 
 def incidence(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFrame:
@@ -159,29 +163,43 @@ def incidence(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFr
     return docs.select("doc", "text").mapInArrow(run, ROW_SCHEMA)
 
 
+def classes_of(rows: DataFrame) -> tuple[DataFrame, int]:
+    """(node, doc: its smallest id) of each distinct set, and the salt that makes nodes of digests: the first one under
+    which no two digests share a node."""
+    salt = 0
+    while True:
+        found = rows.select(F.xxhash64("digest", F.lit(salt)).alias("node"), "digest", "doc").groupBy("node").agg(F.min("doc").alias("doc"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+        found = settled(found.select("node", "doc", (F.col("low") != F.col("high")).alias("shared")), "classes")
+        if found.where("shared").isEmpty():
+            return found.select("node", "doc"), salt
+        discarded(found)
+        salt += 1
+
+
 def entries(rows: DataFrame, rare: bool) -> DataFrame:
-    """The leading blocks' entries, those of rare or of common columns. A task gives equal sets once."""
+    """The leading blocks' entries (node, n, lead, n_rare), those of rare or of common columns. A task gives equal sets
+    once."""
 
     def run(batches):
-        seen: set[bytes] = set()
+        seen: set[int] = set()
         for batch in batches:
-            docs, sizes, digests, leads, n_rare = (batch.column(i).to_pylist() for i in range(5))
+            nodes, sizes, leads, n_rare = (batch.column(i).to_pylist() for i in range(4))
             parts, own, lengths, at = [], [], [], []
-            for doc, n, digest, lead, k in zip(docs, sizes, digests, leads, n_rare, strict=True):
-                if not n or digest in seen:
+            for node, n, lead, k in zip(nodes, sizes, leads, n_rare, strict=True):
+                if node in seen:
                     continue
-                seen.add(digest)
+                seen.add(node)
                 columns = np.frombuffer(lead, np.int64)
                 columns, base = (columns[:k], 0) if rare else (columns[k:], k)
                 parts.append(columns)
-                own.append((doc, n))
+                own.append((node, n))
                 lengths.append(len(columns))
                 at.append(np.arange(base, base + len(columns), dtype=np.int32))
             if parts:
                 ids = np.array(own, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(np.repeat(ids[:, 0], lengths)), pa.array(np.repeat(ids[:, 1], lengths).astype(np.int32)), pa.array(np.concatenate(at))], ["column", "doc", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(np.repeat(ids[:, 0], lengths)), pa.array(np.repeat(ids[:, 1], lengths).astype(np.int32)), pa.array(np.concatenate(at))], ["column", "node", "n", "at"])
 
-    return rows.select("doc", "n", "digest", "lead", "n_rare").mapInArrow(run, ENTRY_SCHEMA)
+    return rows.select("node", "n", "lead", "n_rare").mapInArrow(run, ENTRY_SCHEMA)
 
 
 def has_partner(column: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -197,7 +215,8 @@ def has_partner(column: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray
 
 
 def shared_only(sorted_entries: DataFrame) -> DataFrame:
-    """Entries that can make a pair within their column, from partitions that hold columns whole and in order."""
+    """Distinct entries that can make a pair within their column, from partitions that hold columns whole and in the order
+    of (column, node)."""
 
     def run(batches):
         held = None
@@ -207,6 +226,10 @@ def shared_only(sorted_entries: DataFrame) -> DataFrame:
                 block = np.concatenate([held, block], axis=1)
             if not block.shape[1]:
                 continue
+            # copies of a set come from several tasks
+            again = np.zeros(block.shape[1], bool)
+            again[1:] = (block[0, 1:] == block[0, :-1]) & (block[1, 1:] == block[1, :-1])
+            block = block[:, ~again]
             # the last column may go on in the next batch
             stop = int(np.searchsorted(block[0], block[0, -1], side="left"))
             held = block[:, stop:]
@@ -220,7 +243,7 @@ def shared_only(sorted_entries: DataFrame) -> DataFrame:
         same[1:-1] = column[1:] == column[:-1]
         block = block[:, same[1:] | same[:-1]]
         block = block[:, has_partner(*block[[0, 2, 3]])]
-        return pa.RecordBatch.from_arrays([pa.array(block[0]), pa.array(block[1]), pa.array(block[2].astype(np.int32)), pa.array(block[3].astype(np.int32))], ["column", "doc", "n", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(block[0]), pa.array(block[1]), pa.array(block[2].astype(np.int32)), pa.array(block[3].astype(np.int32))], ["column", "node", "n", "at"])
 
     return sorted_entries.mapInArrow(run, ENTRY_SCHEMA)
 
@@ -244,10 +267,10 @@ def _bounded(pairs: DataFrame, best: bool) -> DataFrame:
     return able.groupBy("own").agg(F.max(F.struct("overlap", "x", "y")).alias("_p")).select("_p.x", "_p.y").distinct()
 
 
-def sieve(wanted: DataFrame) -> np.ndarray:
-    """A bit for each hash of a wanted document: a filter of a fixed size, however many there are."""
-    spot = F.pmod(F.xxhash64("doc"), F.lit(SIEVE_BITS))
-    bits = wanted.where("doc is not null").select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
+def sieve(wanted: DataFrame, key: str) -> np.ndarray:
+    """A bit for each hash of a wanted key: a filter of a fixed size, however many there are."""
+    spot = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
+    bits = wanted.select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"))
     rows = bits.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     out = np.zeros((SIEVE_BITS // (8 * BITMAP_BYTES) + 2, BITMAP_BYTES), np.uint8)
     for row in rows:
@@ -255,60 +278,131 @@ def sieve(wanted: DataFrame) -> np.ndarray:
     return out
 
 
-def sifted(rows: DataFrame, wanted: DataFrame, payload: str, name: str) -> DataFrame:
-    """Settled (doc, set) of the wanted documents, from the payload column: texts, or packed sets as they are. A filter of
-    fixed size picks them where they are read, so nothing else travels; a few others may come along."""
-    packed = dict(rows.dtypes)[payload] == "binary"
-    shared = rows.sparkSession.sparkContext.broadcast(sieve(wanted))
-    spot = F.pmod(F.xxhash64("doc"), F.lit(SIEVE_BITS))
+def _sifted(rows: DataFrame, wanted: DataFrame, key: str, schema: str, made) -> DataFrame:
+    """made(a batch) of the rows (key, ...) whose key is wanted. A filter of fixed size picks them where they are read, so
+    that nothing else travels; a few others may come along."""
+    shared = rows.sparkSession.sparkContext.broadcast(sieve(wanted, key))
+    spot = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS))
+    names = rows.columns
 
     def run(batches):
         bits = shared.value
         for batch in batches:
-            bucket, bit = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            kept = batch.filter(pa.array(bits[bucket, bit >> 3] >> (bit & 7) & 1 == 1))
-            found = kept.column(3) if packed else pa.array([shingle_set(t).tobytes() for t in kept.column(3).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([kept.column(0), found], ["doc", "set"])
-
-    picked = rows.select("doc", F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit"), payload)
-    out = settled(picked.mapInArrow(run, "doc long, set binary"), name, WIDE_BATCH)
-    shared.destroy()
+            bucket, bit = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield made(batch.filter(pa.array(bits[bucket, bit >> 3] >> (bit & 7) & 1 == 1)).select(names))
+
+    return rows.select(F.bitmap_bucket_number(spot).alias("_bucket"), F.bitmap_bit_position(spot).alias("_bit"), *names).mapInArrow(run, schema)
+
+
+def packed_sets(docs: DataFrame, wanted: DataFrame, salt: int) -> DataFrame:
+    """Settled (node, set) of the wanted (doc), with their texts' sets packed; a task gives equal sets once."""
+
+    def made(batch):
+        sets, digests = [], []
+        for text in batch.column("text").to_pylist():
+            own = shingle_set(text).tobytes()
+            digest = xxhash.xxh3_128_digest(own)
+            if digest not in seen:
+                seen.add(digest)
+                sets.append(own)
+                digests.append(digest)
+        return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["digest", "set"])
+
+    seen: set[bytes] = set()
+    found = _sifted(docs.select("doc", "text"), wanted, "doc", "digest binary, set binary", made)
+    return settled(found.select(F.xxhash64("digest", F.lit(salt)).alias("node"), "set"), "sets", WIDE_BATCH)
+
+
+def reaching(own: np.ndarray, flat: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Which of the rows flat[starts:stops] overlap enough with own: a row of the product, made block by block of columns.
+    Overlaps add up, and a row goes when it can't reach the threshold with all of what is left of both."""
+    size = stops - starts
+    alive = np.flatnonzero((OVER * np.minimum(size, len(own)) >= UNDER * np.maximum(size, len(own))) & (size > 0))
+    count = np.zeros(len(starts), np.int64)
+    at, done = starts.copy(), 0
+    cuts = [len(own) * (b + 1) // BLOCKS for b in range(BLOCKS)]
+    for b, cut in enumerate(cuts):
+        if not len(alive):
+            break
+        block, done = own[done:cut], cut
+        if not len(block):
+            continue
+        # a row's part of the block: up to the next block's first column
+        to = stops.copy()
+        if b + 1 < BLOCKS:
+            to[alive] = [at[i] + np.searchsorted(flat[at[i] : stops[i]], own[cut]) for i in alive]
+        lengths = (to - at)[alive]
+        part = np.concatenate([flat[at[i] : to[i]] for i in alive])
+        hit = np.zeros(len(part) + 1, np.int64)
+        np.cumsum(block[np.minimum(np.searchsorted(block, part), len(block) - 1)] == part, out=hit[1:])
+        ends = np.cumsum(lengths)
+        count[alive] += hit[ends] - hit[ends - lengths]
+        at = to
+        most = count + np.minimum(len(own) - cut, stops - at)
+        alive = alive[((OVER + UNDER) * most >= UNDER * (len(own) + size))[alive]]
+    out = np.zeros(len(starts), bool)
+    out[alive] = True
     return out
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Pairs whose exact overlap reaches the threshold; None without pairs."""
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Settled pairs (a, b) whose exact overlap reaches the threshold.
+
+    Pairs are put in tiles: a row x of the matrix and at most about TILE rows it is multiplied with. A tile gets each packed
+    row once, x first; a row of many pairs has many tiles. Parts of the tiles go one after the other, so that only a part of
+    the packed rows is on the way at a time."""
 
     def run(batches):
+        tile, own, x, last = None, None, 0, None
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                # views of the batch, no copies
-                a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                small, large = (a, b) if len(a) <= len(b) else (b, a)
-                at = np.searchsorted(large, small)
-                common = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
-                keep[i] = common > 0 and OVER * common >= UNDER * (len(a) + len(b) - common)
-            kept = batch.filter(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], ["a", "b"])
-
-    # slice by slice, so that packed rows of a fraction of the pairs are on the way at a time
+            if not batch.num_rows:
+                continue
+            tiles, sides, nodes = (batch.column(i).to_numpy() for i in range(3))
+            packed = batch.column(3)
+            offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64) // 8
+            flat = np.frombuffer(packed.buffers()[2], np.uint8, int(offsets[-1]) * 8).view(np.uint64)
+            a, b = [], []
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(tiles)) + 1, [len(tiles)]])
+            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if tiles[start] != tile:
+                    tile, own, last = tiles[start], None, None
+                first = start + int(np.searchsorted(sides[start:stop], 1))
+                if first > start:  # the head, perhaps in copies from several tasks
+                    x, own = int(nodes[start]), flat[offsets[start] : offsets[start + 1]].copy()
+                fresh = np.ones(stop - first, bool)
+                if stop > first:
+                    fresh[1:] = nodes[first + 1 : stop] != nodes[first : stop - 1]
+                    fresh[0] = nodes[first] != last
+                    last = nodes[stop - 1]
+                rows = first + np.flatnonzero(fresh)
+                if own is None or not len(rows):
+                    continue
+                near = rows[reaching(own, flat, offsets[rows], offsets[rows + 1])]
+                a.append(np.full(len(near), x, np.int64))
+                b.append(nodes[near])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, np.empty(0, np.int64)])), pa.array(np.concatenate([*b, np.empty(0, np.int64)]))], ["a", "b"])
+
+    many = pairs.groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") > TILE)
+    split = pairs.join(many, "x", "left")
+    salt = F.when(F.col("rows").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("y"), F.ceil(F.col("rows") / TILE)))
+    tiles = settled(split.select(F.xxhash64("x", salt).alias("tile"), "x", "y"), "tiles")
     found = None
-    if pairs.isEmpty():
-        return None
-    left = sifted(sets, pairs.select(F.col("x").alias("doc")), "set", "left-sets")
-    for part in range(SLICES):
-        own = pairs.where(F.pmod(F.xxhash64("y"), F.lit(SLICES)) == part)
-        right = sets.where(F.pmod(F.xxhash64("doc"), F.lit(SLICES)) == part)
-        both = own.join(right.select(F.col("doc").alias("y"), F.col("set").alias("sy")), "y").join(left.select(F.col("doc").alias("x"), F.col("set").alias("sx")), "x")
-        links = settled(both.select("x", "y", "sx", "sy").mapInArrow(run, "a long, b long"), "links", WIDE_BATCH)
+    for part in range(PARTS):
+        own = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(PARTS)) == part)
+        asked = own.select("tile", F.lit(0).alias("side"), F.col("x").alias("node")).distinct().unionByName(own.select("tile", F.lit(1).alias("side"), F.col("y").alias("node")))
+        near = _sifted(sets, asked.select("node"), "node", "node long, set binary", lambda batch: batch)
+        placed = asked.join(near, "node").select("tile", "side", "node", "set").repartition("tile").sortWithinPartitions("tile", "side", "node")
+        links = settled(placed.mapInArrow(run, "a long, b long"), "links", WIDE_BATCH)
         found = links if found is None else found.unionByName(links)
+    found = settled(found, "edges")
+    discarded(tiles)
     return found
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component: its smallest reachable node) of the nodes of edges (a, b): labels spread to neighbours and are
-    followed to their own label, until nothing changes. Every round is settled; nothing goes to the driver but a count."""
+    """Settled (node, component: its smallest reachable node) of the nodes of edges (a, b): labels spread to neighbours and
+    are followed to their own label, until nothing changes. Every round is settled and takes the place of the one before;
+    nothing goes to the driver but a count."""
     both = settled(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
@@ -316,13 +410,21 @@ def components(edges: DataFrame) -> DataFrame:
         hooked = settled(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next")), "hooked")
         jumps = hooked.select(F.col("node").alias("next"), F.col("next").alias("jump"))
         spread = settled(hooked.join(jumps, "next", "left").select("node", F.coalesce("jump", "next").alias("label"), (F.coalesce("jump", "next") != F.col("label")).alias("moved")), "labels")
-        labels = spread.select("node", "label")
-        if spread.where("moved").limit(1).count() == 0:
-            return labels.select("node", F.col("label").alias("component"))
+        discarded(labels, hooked)
+        labels = spread
+        if spread.where("moved").isEmpty():
+            discarded(both)
+            return _as(spread, spread.select("node", F.col("label").alias("component")))
+
+
+def _as(table: DataFrame, view: DataFrame) -> DataFrame:
+    """A view of a settled table, to be discarded with it."""
+    view._kindred_path = table._kindred_path
+    return view
 
 
 def _relabelled(parts: DataFrame | None, edges: DataFrame) -> DataFrame:
-    """Components (node, component) after further edges (a, b) between nodes."""
+    """Settled components (node, component) after further edges (a, b) between nodes; parts goes."""
     if parts is None:
         return components(edges)
     named = edges
@@ -331,36 +433,48 @@ def _relabelled(parts: DataFrame | None, edges: DataFrame) -> DataFrame:
     merged = components(named.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
     moved = parts.join(merged.select(F.col("node").alias("component"), F.col("component").alias("target")), "component", "left")
     fresh = merged.join(parts.select("node"), "node", "left_anti")
-    return settled(moved.select("node", F.coalesce("target", "component").alias("component")).unionByName(fresh), "parts")
+    out = settled(moved.select("node", F.coalesce("target", "component").alias("component")).unionByName(fresh), "parts")
+    discarded(parts, merged)
+    return out
 
 
 def _placed(buckets: DataFrame, parts: DataFrame | None) -> DataFrame:
     """Buckets with each row's component so far."""
     if parts is None:
-        return buckets.withColumn("part", F.col("doc"))
-    return buckets.join(parts.withColumnRenamed("node", "doc"), "doc", "left").select(*buckets.columns, F.coalesce("component", "doc").alias("part"))
+        return buckets.withColumn("part", F.col("node"))
+    return buckets.join(parts, "node", "left").select(*buckets.columns, F.coalesce("component", "node").alias("part"))
 
 
 def _contested(buckets: DataFrame, head) -> DataFrame:
-    """Rows of the columns that hold several components, with the column's largest component and its head row."""
-    row = F.struct("doc", "n", "at", "part")
+    """Settled rows of the columns that hold several components, with the column's largest component and its head row."""
+    row = F.struct("node", "n", "at", "part")
     sizes = buckets.groupBy("column", "part").agg(F.count("*").alias("rows"), head(row).alias("head"))
     heads = sizes.groupBy("column").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("rows", "part")).alias("main"), head("head").alias("head"))
-    heads = settled(heads.where("parts > 1").select("column", "main", *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("doc", "n", "at", "part"))), "heads")
-    return settled(buckets.join(heads, "column"), "mixed")
+    heads = settled(heads.where("parts > 1").select("column", "main", *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("node", "n", "at", "part"))), "heads")
+    held = settled(buckets.join(heads, "column"), "mixed")
+    discarded(heads)
+    return held
 
 
 def _with_head(held: DataFrame) -> DataFrame:
     """Each row with the head of its column, where that is in another component."""
     rows = held.where("part <> head_part")
-    return rows.select(F.col("head_doc").alias("x"), F.col("doc").alias("y"), F.col("head_n").alias("nx"), F.col("n").alias("ny"), F.col("head_at").alias("ax"), F.col("at").alias("ay"))
+    return rows.select(F.col("head_node").alias("x"), F.col("node").alias("y"), F.col("head_n").alias("nx"), F.col("n").alias("ny"), F.col("head_at").alias("ax"), F.col("at").alias("ay"))
 
 
 def _all_across(held: DataFrame) -> DataFrame:
-    """All pairs of a column's rows in different components. Rows of the largest component only meet the others."""
-    own = held.where("part <> main").select("column", F.col("doc").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("part").alias("px"))
-    other = held.select("column", F.col("doc").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("part").alias("py"), "main")
-    return own.join(other, "column").where("px <> py and (py = main or x < y)").select("x", "y", "nx", "ny", "ax", "ay")
+    """All pairs of a column's rows in different components that sizes and index rule allow. Rows of the largest component
+    only meet the others. Rows meet by column and band of sizes, as no pair is further than one band apart; so a column of
+    many rows is many groups."""
+    log = F.floor(F.log(F.col("n").cast("double")) / math.log(OVER / UNDER * (1 + 1e-9)))
+    rows = held.withColumn("band", log)
+    own = rows.select("column", "band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("part").alias("px"), (F.col("part") == F.col("main")).alias("mx"))
+    own = own.where(F.col("ax") < F.col("nx") - F.ceil(F.lit(2 * UNDER) * F.col("nx") / (OVER + UNDER)) + 1)
+    other = rows.select("column", F.explode(F.array("band", F.col("band") - 1)).alias("band"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("part").alias("py"), (F.col("part") == F.col("main")).alias("my"))
+    allowed = "px <> py and (nx < ny or (nx = ny and x < y))"
+    free = own.where("not mx").join(other, ["column", "band"]).where(allowed)
+    tied = own.where("mx").join(other.where("not my"), ["column", "band"]).where(allowed)
+    return free.unionByName(tied).select("x", "y", "nx", "ny", "ax", "ay")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -369,38 +483,62 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     docs = source.where(F.col("doc").isNotNull())
     rows = settled(incidence(source, *common_columns(docs)), "incidence", WIDE_BATCH)
     filled = rows.where("doc is not null and n > 0")
-    classes = settled(filled.groupBy("digest").agg(F.min("doc").alias("rep")), "classes")
-    # rows that share an id are one document: their sets' classes are linked
-    by_row = filled.select("doc", "digest").join(classes, "digest").groupBy("doc").agg(F.min("rep").alias("rep"), F.max("rep").alias("other"))
-    members = settled(by_row, "members")
-
-    rare = shared_only(entries(filled, True).repartition("column").sortWithinPartitions("column"))
-    found = rare.unionByName(entries(filled, False)).join(members.select("doc", "rep"), "doc")
-    buckets = settled(found.select("column", F.col("rep").alias("doc"), "n", "at").distinct(), "buckets")
-    twins = members.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b"))
-    parts = None if twins.isEmpty() else _relabelled(None, twins)
+    classes, salt = classes_of(filled)
+    keyed = rows.withColumn("node", F.when((F.col("n") > 0) & F.col("doc").isNotNull(), F.xxhash64("digest", F.lit(salt))))
+    members = settled(keyed.select("doc", "n", "node"), "members")
+
+    whole = keyed.where("node is not null")
+    rare = shared_only(entries(whole, True).repartition("column").sortWithinPartitions("column", "node"))
+    buckets = settled(rare.unionByName(entries(whole, False).distinct()), "buckets")
+    discarded(rows)
+    # rows that share an id are one document: their sets are linked
+    own = members.where("node is not null")
+    several = settled(own.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc", "a"), "several")
+    parts = None
+    if not several.isEmpty():
+        parts = _relabelled(None, own.join(several, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    discarded(several)
     sets = None
     for head, paired, best in ((F.min, _with_head, True), (F.max, _with_head, True), (F.min, _all_across, False)):
         held = _contested(_placed(buckets, parts), head)
+        # columns of one component have no pairs to give any more
+        discarded(buckets)
         if held.isEmpty():
             break
-        # columns of one component have no pairs to give any more
-        buckets = held.select("column", "doc", "n", "at")
+        buckets = _as(held, held.select("column", "node", "n", "at"))
         if sets is None:
-            sets = sifted(docs, buckets.select("doc"), "text", "sets")
-        edges = linked(settled(_bounded(paired(held), best), "pairs"), sets)
-        if edges is not None and not edges.isEmpty():
-            parts = _relabelled(parts, edges)
-
-    named = members.select("doc", "rep")
-    if parts is not None:
-        named = named.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("doc", F.coalesce("component", "rep").alias("rep"))
-    sized = rows.select("doc", F.col("n").cast("long").alias("n_shingles"))
-    return sized.join(settled(named, "named"), "doc", "left").select(F.col("doc").alias(id_col), "n_shingles", F.coalesce("rep", "doc").alias("component_id"))
+            wanted = buckets.select("node").distinct().join(classes, "node").select("doc")
+            sets = packed_sets(docs, wanted, salt)
+        pairs = settled(_bounded(paired(held), best), "pairs")
+        if not pairs.isEmpty():
+            edges = linked(pairs, sets)
+            if not edges.isEmpty():
+                parts = _relabelled(parts, edges)
+            discarded(edges)
+        discarded(pairs)
+    discarded(buckets, sets)
+
+    # a component's id is its smallest document, and a document's the smallest of its rows
+    if parts is None:
+        named = classes.select("node", F.col("doc").alias("component"))
+    else:
+        joined = classes.join(parts, "node", "left").select("node", "doc", F.coalesce("component", "node").alias("part"))
+        least = joined.groupBy("part").agg(F.min("doc").alias("component"))
+        named = joined.join(least, "part").select("node", "component")
+    named = members.where("node is not null").join(named, "node").groupBy("doc").agg(F.min("component").alias("component"))
+    named = settled(named, "named")
+    discarded(parts)
+    sized = members.select("doc", F.col("n").cast("long").alias("n_shingles"))
+    return sized.join(named, "doc", "left").select(F.col("doc").alias(id_col), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """df with one row of each component: the smallest id's, one of its rows if there are several. Rows without an id stay."""
-    kept = jaccard_components(df, id_col, text_col).where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_kept")).distinct()
-    chosen = df.join(settled(kept, "kept"), F.col(f"`{id_col}`") == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    return chosen.unionByName(df.where(F.col(f"`{id_col}`").isNull()))
+    """df with one row of each component: the smallest id's. Of several rows of that id the one of the smallest hash stays,
+    equal rows being one. Rows without an id stay."""
+    found = jaccard_components(df, id_col, text_col).where(F.col(id_col) == F.col("component_id"))
+    kept = settled(found.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("rows")), "kept")
+    whole = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+    chosen = whole.join(kept, "id")
+    several = chosen.where("rows > 1").groupBy("id").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    out = chosen.where("rows = 1").select("row").unionByName(several.select("row")).unionByName(whole.where("id is null").select("row"))
+    return out.select("row.*")
