@@ -87,9 +87,13 @@ def discarded(*tables: DataFrame | None) -> None:
     """Removes settled tables that nothing will read again: what was made of them is settled itself."""
     for table in tables:
         if path := getattr(table, "_kindred_path", None):
-            spark = table.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            removed(table.sparkSession, path)
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder in whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ship(spark: SparkSession) -> None:
