@@ -5,14 +5,15 @@ rows. The product runs block by block:
 
 * the leading block of each row holds the columns that any partner must share with it (a size-derived bound: the first
   |x| - ceil(t |x|) + 1 columns, or fewer on the side that is not larger); it is multiplied by a join on the column, which
-  accumulates overlap counts of candidate pairs and the places of their last common column,
+  accumulates overlap counts of candidate pairs; columns that hold the same rows are one, of that weight,
 * pairs are discarded where the sizes, or the overlap so far and what is left of both rows, cannot reach the threshold,
 * the rest is multiplied for the pairs that are left, in tiles of one row by many: columns go block by block, overlaps add
   up over the blocks, and a pair goes as soon as what is left of both rows is too little. What remains has exact overlaps.
 
-Groups of copies take no quadratic work: equal sets are one row (a node) from the start. Pairs of a column come in rounds. In the
-first rounds each column pairs its rows with one of them only; linked rows become one component. The last round pairs
-what is left in columns that still hold several components, and only rows of different components.
+Groups of copies take no quadratic work: equal sets are one row (a node) from the start. Crowded columns come in rounds: each
+pairs its rows with one of them only, the one in most columns, and linked rows become one component. The last round pairs
+what is left in columns that still hold several components, and only rows of different components that share enough
+leading columns with other rows at all.
 
 A row whose id is null, and a text without words, links with nothing. A null text counts as one without words. Shingles
 are compared by 64-bit digests. Rows that share an id are one document: all its texts' links count. Only the id and the
@@ -40,8 +41,15 @@ UNDER, OVER = 80, 100
 SAMPLE_SETS, COMMON_SETS, COMMON_COLUMNS = 20_000, 8, 200_000
 #: Bits of the filter that picks documents by their ids' hashes, and bytes of one of Spark's bitmaps.
 SIEVE_BITS, BITMAP_BYTES = 1 << 24, 4096
+#: Rows from which on a column is crowded, and rounds that pair crowded columns' rows with one of them only; meetings with
+#: other rows in crowded columns from which on it is worth while to look at all the columns of a row.
+CROWD, STARS, MEETINGS = 16, 1, 1024
+#: Where a leading block ends that holds common columns: behind all others.
+MIXED = 2**63 - 1
 #: Parts in which tiles are multiplied, rows in a tile that its first row is multiplied with, and blocks of columns.
 PARTS, TILE, BLOCKS = 4, 512, 4
+#: Pairs that are worth a part.
+FEW = 20_000
 #: Rows with texts or packed sets that Python gets at a time.
 WIDE_BATCH = 1000
 
@@ -139,18 +147,20 @@ def leading_block(own: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tu
     return own[:p], p
 
 
-ROW_SCHEMA = "doc long, n int, digest binary, lead binary, n_rare int"
+ROW_SCHEMA = "doc long, n int, digest binary, lead binary, n_rare int, cut long"
 ENTRY_SCHEMA = "column long, node long, n int, at int"
+ENTRY = ("column", "node", "n", "at", "inside")
 
 
 def incidence(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """A row for each document: the size and digest of its set and its leading block, packed."""
+    """A row for each document: the size and digest of its set, its leading block, packed, and where that ends in the order
+    of the columns (MIXED where it holds common columns)."""
     shared = docs.sparkSession.sparkContext.broadcast((common, counts))
 
     def run(batches):
         columns, n_sets = shared.value
         for batch in batches:
-            sizes, digests, leads, rare = [], [], [], []
+            sizes, digests, leads, rare, cuts = [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingle_set(text)
                 lead, n_rare = leading_block(own, columns, n_sets) if len(own) else (own, 0)
@@ -158,20 +168,21 @@ def incidence(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFr
                 digests.append(xxhash.xxh3_128_digest(own.tobytes()))
                 leads.append(lead.tobytes())
                 rare.append(n_rare)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(leads, pa.binary()), pa.array(rare, pa.int32())], ["doc", "n", "digest", "lead", "n_rare"])
+                cuts.append(int(lead[-1]) - 2**63 if len(lead) and n_rare == len(lead) else MIXED)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()), pa.array(leads, pa.binary()), pa.array(rare, pa.int32()), pa.array(cuts, pa.int64())], ["doc", "n", "digest", "lead", "n_rare", "cut"])
 
     return docs.select("doc", "text").mapInArrow(run, ROW_SCHEMA)
 
 
 def classes_of(rows: DataFrame) -> tuple[DataFrame, int]:
-    """(node, doc: its smallest id) of each distinct set, and the salt that makes nodes of digests: the first one under
+    """(node, doc: its smallest id, cut) of each distinct set, and the salt that makes nodes of digests: the first one under
     which no two digests share a node."""
     salt = 0
     while True:
-        found = rows.select(F.xxhash64("digest", F.lit(salt)).alias("node"), "digest", "doc").groupBy("node").agg(F.min("doc").alias("doc"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-        found = settled(found.select("node", "doc", (F.col("low") != F.col("high")).alias("shared")), "classes")
+        found = rows.select(F.xxhash64("digest", F.lit(salt)).alias("node"), "digest", "doc", "cut").groupBy("node").agg(F.min("doc").alias("doc"), F.min("cut").alias("cut"), F.min("digest").alias("low"), F.max("digest").alias("high"))
+        found = settled(found.select("node", "doc", "cut", (F.col("low") != F.col("high")).alias("shared")), "classes")
         if found.where("shared").isEmpty():
-            return found.select("node", "doc"), salt
+            return found.select("node", "doc", "cut"), salt
         discarded(found)
         salt += 1
 
@@ -202,21 +213,24 @@ def entries(rows: DataFrame, rare: bool) -> DataFrame:
     return rows.select("node", "n", "lead", "n_rare").mapInArrow(run, ENTRY_SCHEMA)
 
 
-def has_partner(column: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether a column's row has another one there that sizes and the index rule allow a pair with. Columns are whole."""
+def partners(column: np.ndarray, n: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a column's row has another one there whose size allows a link, and whether the index rule allows the pair
+    too. Columns are whole."""
     if not len(column):
-        return np.zeros(0, bool)
+        return np.zeros(0, bool), np.zeros(0, bool)
     group = np.cumsum(np.concatenate([[0], column[1:] != column[:-1]])).astype(np.int64) << 32
     index = at < n - -(-2 * UNDER * n // (OVER + UNDER)) + 1
     sizes, indexed = np.sort(group + n), np.sort((group + n)[index])
-    smaller = np.searchsorted(indexed, group + n, side="right") - np.searchsorted(indexed, group + -(-UNDER * n // OVER), side="left") - index
-    larger = np.searchsorted(sizes, group + OVER * n // UNDER, side="right") - np.searchsorted(sizes, group + n, side="left") - 1
-    return (smaller > 0) | (index & (larger > 0))
+    low, high = group + -(-UNDER * n // OVER), group + OVER * n // UNDER
+    smaller = np.searchsorted(indexed, group + n, side="right") - np.searchsorted(indexed, low, side="left") - index
+    larger = np.searchsorted(sizes, high, side="right") - np.searchsorted(sizes, group + n, side="left") - 1
+    near = np.searchsorted(sizes, high, side="right") - np.searchsorted(sizes, low, side="left") - 1
+    return near > 0, (smaller > 0) | (index & (larger > 0))
 
 
 def shared_only(sorted_entries: DataFrame) -> DataFrame:
-    """Distinct entries that can make a pair within their column, from partitions that hold columns whole and in the order
-    of (column, node)."""
+    """Distinct entries that have a row of like size in their column, and whether they can make a pair there, from
+    partitions that hold columns whole and in the order of (column, node)."""
 
     def run(batches):
         held = None
@@ -242,28 +256,42 @@ def shared_only(sorted_entries: DataFrame) -> DataFrame:
         same = np.zeros(len(column) + 1, bool)
         same[1:-1] = column[1:] == column[:-1]
         block = block[:, same[1:] | same[:-1]]
-        block = block[:, has_partner(*block[[0, 2, 3]])]
-        return pa.RecordBatch.from_arrays([pa.array(block[0]), pa.array(block[1]), pa.array(block[2].astype(np.int32)), pa.array(block[3].astype(np.int32))], ["column", "node", "n", "at"])
+        near, able = partners(*block[[0, 2, 3]])
+        block = block[:, near]
+        return pa.RecordBatch.from_arrays([pa.array(block[0]), pa.array(block[1]), pa.array(block[2].astype(np.int32)), pa.array(block[3].astype(np.int32)), pa.array(able[near])], ["column", "node", "n", "at", "able"])
 
-    return sorted_entries.mapInArrow(run, ENTRY_SCHEMA)
+    return sorted_entries.mapInArrow(run, ENTRY_SCHEMA + ", able boolean")
 
 
-def _bounded(pairs: DataFrame, best: bool) -> DataFrame:
-    """(x, y) of the pairs (x, y, and of each n and its place in a column) that sizes and index rule allow, x the one that
-    is not larger; overlap counts add up by pair, and those that can't reach the threshold any more go. best: of the pairs
-    of one y only that of the largest overlap so far stays, for rounds that needn't be complete."""
+def merged(entries: DataFrame) -> DataFrame:
+    """Settled entries with equal columns as one: those that hold the same rows. at is the place of the first of them in a
+    row, inside how many of them the row's index block holds. Columns whose rows' hashes agree by chance make a column of
+    all their rows, which adds pairs but takes none away."""
+    rows = F.count("*").alias("rows")
+    alike = entries.groupBy("column").agg(F.bit_xor(F.xxhash64("node")).alias("key"), rows).where("rows > 1").select("column", F.xxhash64("key", "rows").alias("alike"))
+    within = F.when(F.col("at") < _index("n"), 1).otherwise(0)
+    found = entries.join(alike, "column").groupBy(F.col("alike").alias("column"), "node").agg(F.first("n").alias("n"), F.min("at").alias("at"), F.sum(within).cast("int").alias("inside"))
+    return settled(found, "merged")
+
+
+def _index(n: str):
+    """index_length of a column of sizes."""
+    return F.col(n) - F.ceil(F.lit(2 * UNDER) * F.col(n) / (OVER + UNDER)) + 1
+
+
+def _likely(pairs: DataFrame) -> DataFrame:
+    """(x, y) of the pairs (x, y, and of each n, at and inside of a column) that sizes and index rule allow, x the one that
+    is not larger. Overlaps add up by pair: what the index block of x holds of y. Of the pairs of one y that may reach the
+    threshold only that of the largest overlap so far stays, for rounds that needn't be complete."""
     swap = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y")))
 
     def pick(a: str, b: str):
         return F.when(swap, F.col(b)).otherwise(F.col(a))
 
-    turned = pairs.select(F.col("y").alias("own"), pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ax", "ay").alias("ax"), pick("ay", "ax").alias("ay"))
-    turned = turned.where((OVER * F.col("nx") >= UNDER * F.col("ny")) & (F.col("ax") < F.col("nx") - F.ceil(F.lit(2 * UNDER) * F.col("nx") / (OVER + UNDER)) + 1))
-    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.min("own").alias("own"), F.count("*").alias("overlap"), F.max("ax").alias("ax"), F.max("ay").alias("ay"))
-    most = F.col("overlap") + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay")) - 1
-    able = counted.where((OVER + UNDER) * most >= UNDER * (F.col("nx") + F.col("ny")))
-    if not best:
-        return able.select("x", "y")
+    turned = pairs.select(F.col("y").alias("own"), pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ay", "ax").alias("ay"), pick("ix", "iy").alias("ix"))
+    turned = turned.where((OVER * F.col("nx") >= UNDER * F.col("ny")) & (F.col("ix") > 0))
+    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.min("own").alias("own"), F.sum("ix").alias("overlap"), F.min("ay").alias("ay"))
+    able = counted.where((OVER + UNDER) * F.least(F.col("overlap") + F.col("nx") - _index("nx"), F.col("ny") - F.col("ay")) >= UNDER * (F.col("nx") + F.col("ny")))
     return able.groupBy("own").agg(F.max(F.struct("overlap", "x", "y")).alias("_p")).select("_p.x", "_p.y").distinct()
 
 
@@ -386,9 +414,9 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     split = pairs.join(many, "x", "left")
     salt = F.when(F.col("rows").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("y"), F.ceil(F.col("rows") / TILE)))
     tiles = settled(split.select(F.xxhash64("x", salt).alias("tile"), "x", "y"), "tiles")
-    found = None
-    for part in range(PARTS):
-        own = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(PARTS)) == part)
+    found, parts = None, max(1, min(PARTS, tiles.count() // FEW))
+    for part in range(parts):
+        own = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(parts)) == part)
         asked = own.select("tile", F.lit(0).alias("side"), F.col("x").alias("node")).distinct().unionByName(own.select("tile", F.lit(1).alias("side"), F.col("y").alias("node")))
         near = _sifted(sets, asked.select("node"), "node", "node long, set binary", lambda batch: batch)
         placed = asked.join(near, "node").select("tile", "side", "node", "set").repartition("tile").sortWithinPartitions("tile", "side", "node")
@@ -445,36 +473,70 @@ def _placed(buckets: DataFrame, parts: DataFrame | None) -> DataFrame:
     return buckets.join(parts, "node", "left").select(*buckets.columns, F.coalesce("component", "node").alias("part"))
 
 
-def _contested(buckets: DataFrame, head) -> DataFrame:
-    """Settled rows of the columns that hold several components, with the column's largest component and its head row."""
-    row = F.struct("node", "n", "at", "part")
-    sizes = buckets.groupBy("column", "part").agg(F.count("*").alias("rows"), head(row).alias("head"))
-    heads = sizes.groupBy("column").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("rows", "part")).alias("main"), head("head").alias("head"))
-    heads = settled(heads.where("parts > 1").select("column", "main", *(F.col(f"head.{c}").alias(f"head_{c}") for c in ("node", "n", "at", "part"))), "heads")
-    held = settled(buckets.join(heads, "column"), "mixed")
-    discarded(heads)
-    return held
+def _contested(placed: DataFrame) -> DataFrame:
+    """Settled rows of the columns that hold several components, with the column's number of rows and largest component."""
+    sizes = placed.groupBy("column", "part").agg(F.count("*").alias("rows"))
+    columns = sizes.groupBy("column").agg(F.sum("rows").alias("rows"), F.count("*").alias("parts"), F.max_by("part", F.struct("rows", "part")).alias("main"))
+    return settled(placed.join(columns.where("parts > 1").select("column", "rows", "main"), "column"), "contested")
 
 
-def _with_head(held: DataFrame) -> DataFrame:
-    """Each row with the head of its column, where that is in another component."""
-    rows = held.where("part <> head_part")
-    return rows.select(F.col("head_node").alias("x"), F.col("node").alias("y"), F.col("head_n").alias("nx"), F.col("n").alias("ny"), F.col("head_at").alias("ax"), F.col("at").alias("ay"))
+def _with_head(held: DataFrame, turn: int) -> DataFrame:
+    """Each row of a column with the column's head, where that is in another component. The head is the row that is in most
+    columns, as the middle of a group of near copies is; in every other round one outside the largest component."""
+    degree = held.groupBy("node").agg(F.sum("inside").alias("degree"))
+    rows = held.join(degree, "node")
+    able = rows.where("part <> main") if turn % 2 else rows
+    heads = able.groupBy("column").agg(F.max(F.struct("degree", F.xxhash64("node", F.lit(turn)).alias("order"), "node", "n", "at", "inside", "part")).alias("head"))
+    both = held.join(heads, "column").where("part <> head.part")
+    return both.select(F.col("head.node").alias("x"), F.col("node").alias("y"), F.col("head.n").alias("nx"), F.col("n").alias("ny"), F.col("head.at").alias("ax"), F.col("at").alias("ay"), F.col("head.inside").alias("ix"), F.col("inside").alias("iy"))
 
 
-def _all_across(held: DataFrame) -> DataFrame:
-    """All pairs of a column's rows in different components that sizes and index rule allow. Rows of the largest component
-    only meet the others. Rows meet by column and band of sizes, as no pair is further than one band apart; so a column of
-    many rows is many groups."""
-    log = F.floor(F.log(F.col("n").cast("double")) / math.log(OVER / UNDER * (1 + 1e-9)))
-    rows = held.withColumn("band", log)
-    own = rows.select("column", "band", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"), F.col("part").alias("px"), (F.col("part") == F.col("main")).alias("mx"))
-    own = own.where(F.col("ax") < F.col("nx") - F.ceil(F.lit(2 * UNDER) * F.col("nx") / (OVER + UNDER)) + 1)
-    other = rows.select("column", F.explode(F.array("band", F.col("band") - 1)).alias("band"), F.col("node").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("part").alias("py"), (F.col("part") == F.col("main")).alias("my"))
-    allowed = "px <> py and (nx < ny or (nx = ny and x < y))"
-    free = own.where("not mx").join(other, ["column", "band"]).where(allowed)
-    tied = own.where("mx").join(other.where("not my"), ["column", "band"]).where(allowed)
-    return free.unionByName(tied).select("x", "y", "nx", "ny", "ax", "ay")
+def _caps(held: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """Settled (node, cap) of the rows that meet many others in held: how many of a row's columns, leading or not, any row
+    it meets there in another component has at all. So near misses in groups of long or many near copies aren't paired."""
+
+    def spread(batches):
+        for batch in batches:
+            packed = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(2)]
+            lengths = [len(x) for x in packed]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*packed, np.empty(0, np.int64)])), pa.array(np.repeat(batch.column(0).to_numpy(), lengths)), pa.array(np.repeat(batch.column(1).to_numpy(), lengths))], ["column", "node", "part"])
+
+    heavy = settled(held.where("inside > 0").groupBy("node").agg(F.sum("rows").alias("met")).where(F.col("met") >= MEETINGS).select("node"), "heavy")
+    if heavy.isEmpty():
+        return None
+    crowds = held.join(held.join(heavy, "node").select("column").distinct(), "column", "left_semi")
+    nodes = settled(crowds.select("node", "part").distinct(), "crowd")
+    near = _sifted(sets, nodes, "node", "node long, set binary", lambda batch: batch)
+    packed = nodes.join(near.dropDuplicates(["node"]), "node").select("node", "part", "set")
+    cells = settled(packed.mapInArrow(spread, "column long, node long, part long"), "crowd-cells", WIDE_BATCH)
+    columns = cells.groupBy("column").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("column")
+    shared = cells.join(heavy, "node").join(columns, "column").groupBy("node").agg(F.count("*").cast("int").alias("cap"))
+    caps = settled(heavy.join(shared, "node", "left").select("node", F.coalesce("cap", F.lit(0)).alias("cap")), "caps")
+    discarded(heavy, nodes, cells)
+    return caps
+
+
+def _all_across(held: DataFrame, bounds: DataFrame) -> DataFrame:
+    """(x, y) of all pairs of a column's rows in different components that sizes and bounds allow, once each. Rows of the largest component only
+    meet the others. Rows meet by column and band of sizes, as no pair is further than one band apart; so a column of many
+    rows is many groups.
+
+    Of a pair's rows take the one whose leading block ends first. Whatever it shares up to there with the other one are
+    leading columns that rows of like size hold, so its overlap is at most their number and the rest of its columns (most in
+    bounds). Thus rows with little but one passage in common don't pair, nor do near misses in large groups."""
+    both = OVER + UNDER
+    rows = held.join(bounds, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(OVER / UNDER * (1 + 1e-9))))
+
+    def side(name: str, table: DataFrame, band) -> DataFrame:
+        return table.select("column", band, F.col("node").alias(name), *(F.col(c).alias(c[0] + name) for c in ("n", "at", "inside", "part", "most")), F.col("cut").alias("cut" + name), F.col("cap").alias("cap" + name), (F.col("part") == F.col("main")).alias("main" + name))
+
+    own, other = side("x", rows.where("inside > 0"), F.col("band")), side("y", rows, F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    most = "least(capx, capy, case when cutx < cuty then mx when cuty < cutx then my else greatest(mx, my) end)"
+    # a pair meets in its first common column, if at all, with all of its overlap still to come
+    allowed = f"px <> py and (nx < ny or (nx = ny and x < y)) and {OVER} * nx >= {UNDER} * ny and {both} * least(nx - ax, ny - ay, {most}) >= {UNDER} * (nx + ny)"
+    free = own.where("not mainx").join(other, ["column", "band"]).where(allowed)
+    tied = own.where("mainx").join(other.where("not mainy"), ["column", "band"]).where(allowed)
+    return free.unionByName(tied).select("x", "y").distinct()
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -489,8 +551,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     whole = keyed.where("node is not null")
     rare = shared_only(entries(whole, True).repartition("column").sortWithinPartitions("column", "node"))
-    buckets = settled(rare.unionByName(entries(whole, False).distinct()), "buckets")
+    buckets = settled(rare.unionByName(entries(whole, False).distinct().withColumn("able", F.lit(True))), "buckets")
     discarded(rows)
+    shared = buckets.groupBy("node").agg(F.count("*").alias("shared"), F.first("n").alias("n"))
+    most = F.col("shared") + F.ceil(F.lit(UNDER) * F.col("n") / OVER) - 1
+    bounds = settled(shared.join(classes, "node").select("node", most.alias("most"), "cut"), "bounds")
     # rows that share an id are one document: their sets are linked
     own = members.where("node is not null")
     several = settled(own.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("doc", "a"), "several")
@@ -498,25 +563,46 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if not several.isEmpty():
         parts = _relabelled(None, own.join(several, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct())
     discarded(several)
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return packed_sets(docs, nodes.distinct().join(classes, "node").select("doc"), salt)
+
+    whole = merged(buckets.where("able"))
+    discarded(buckets)
+    held = _contested(_placed(whole, parts))
+    discarded(whole)
+    hot, cold = (settled(held.where(kind).select(*ENTRY), "held") for kind in (F.col("rows") > CROWD, F.col("rows") <= CROWD))
+    discarded(held)
     sets = None
-    for head, paired, best in ((F.min, _with_head, True), (F.max, _with_head, True), (F.min, _all_across, False)):
-        held = _contested(_placed(buckets, parts), head)
-        # columns of one component have no pairs to give any more
-        discarded(buckets)
-        if held.isEmpty():
+    for turn in range(STARS):
+        crowded = _contested(_placed(hot, parts))
+        if sets is None and not crowded.isEmpty():
+            sets = sets_of(crowded.select("node"))
+        pairs = settled(_likely(_with_head(crowded, turn)), "pairs")
+        edges = None if pairs.isEmpty() else linked(pairs, sets)
+        discarded(crowded, pairs)
+        if edges is None or edges.isEmpty():
             break
-        buckets = _as(held, held.select("column", "node", "n", "at"))
-        if sets is None:
-            wanted = buckets.select("node").distinct().join(classes, "node").select("doc")
-            sets = packed_sets(docs, wanted, salt)
-        pairs = settled(_bounded(paired(held), best), "pairs")
-        if not pairs.isEmpty():
-            edges = linked(pairs, sets)
-            if not edges.isEmpty():
-                parts = _relabelled(parts, edges)
-            discarded(edges)
-        discarded(pairs)
-    discarded(buckets, sets)
+        parts = _relabelled(parts, edges)
+        discarded(edges)
+    # columns of one component have no pairs to give any more
+    left = _contested(_placed(hot, parts))
+    caps = None if left.isEmpty() else _caps(left, sets)
+    rest = left.select(*ENTRY, F.col("n").alias("cap"))
+    if caps is not None:
+        rest = left.join(caps, "node", "left").select(*ENTRY, F.coalesce("cap", "n").alias("cap")).where(OVER * F.col("cap") >= UNDER * F.col("n"))
+    rest = rest.unionByName(cold.select(*ENTRY, F.col("n").alias("cap")))
+    last = _contested(_placed(rest, parts))
+    discarded(hot, cold, sets, left, caps)
+    pairs = settled(_all_across(last, bounds), "pairs")
+    discarded(last, bounds)
+    if not pairs.isEmpty():
+        sets = sets_of(pairs.select(F.explode(F.array("x", "y")).alias("node")))
+        edges = linked(pairs, sets)
+        if not edges.isEmpty():
+            parts = _relabelled(parts, edges)
+        discarded(edges, sets)
+    discarded(pairs)
 
     # a component's id is its smallest document, and a document's the smallest of its rows
     if parts is None:
