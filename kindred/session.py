@@ -69,18 +69,24 @@ def settled(df: DataFrame, name: str, batch: int | None = None) -> DataFrame:
     """df written once to the shared folder and read back: a cut lineage that survives lost executors. Its shuffle files
     aren't needed after that and go at once. batch: rows that Python functions get at a time, for wide rows."""
     spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    lean_write(df, path, batch)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._kindred_path = path
+    return table
+
+
+def lean_write(df: DataFrame, path: str, batch: int | None = None) -> None:
+    """Appends df to the Parquet folder; the shuffle files it took go at once."""
+    spark = df.sparkSession
     own = {_CLEANUP: "true"} | ({_BATCH: str(batch)} if batch else {})
     before = {key: spark.conf.get(key) for key in own}
     try:
         for key, value in own.items():
             spark.conf.set(key, value)
-        df.write.parquet(path)
+        df.write.mode("append").parquet(path)
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._kindred_path = path
-    return table
 
 
 def discarded(*tables: DataFrame | None) -> None:
