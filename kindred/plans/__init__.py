@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def queries() -> dict:
-    from kindred.plans import q_linkage, q_marts, q_relational, q_text  # noqa: F401  register
+    from kindred.plans import q_linkage, q_marts, q_register, q_relational, q_text  # noqa: F401  register
     from kindred.plans.catalogue import QUERIES
 
     return dict(QUERIES)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.functions import numbers, text
 from kindred.operators import classification
 from kindred.plans.catalogue import query
-from kindred.session import table
+from kindred.session import settled, table
 
 #: Folding in SQL for the letters of the test texts.
 FOLD = f"trim(lower(translate({{}}, '{text.ACCENTED}', '{text.PLAIN}')))"
@@ -25,34 +26,42 @@ def q23_stems(spark, sf_dir):
     return rows.select("doc_id", F.size("s").cast("long").alias("n_stems"), F.md5(F.array_join("s", ",")).alias("digest"))
 
 
-@query(f"""WITH f AS (SELECT doc_id, source, {fold("text")} AS t FROM documents), s AS (SELECT doc_id, source, list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(t, '[a-z]+'), lambda x: length(x) >= 3), lambda x: left(x, 5)))) AS s, left(t, 20) AS head FROM f)
-SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, round(len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 9) AS jaccard FROM s a JOIN s b ON a.source = b.source AND a.head = b.head AND a.doc_id < b.doc_id WHERE len(a.s) > 0 OR len(b.s) > 0""")
+@query(f"""WITH f AS (SELECT doc_id, source, {fold("text")} AS t FROM documents), s AS (SELECT source, list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(t, '[a-z]+'), lambda x: length(x) >= 3), lambda x: left(x, 5)))) AS s, min(doc_id) AS doc, count(*) AS copies FROM f GROUP BY 1, 2),
+p AS (SELECT a.doc AS x, b.doc AS y, a.copies AS cx, b.copies AS cy, len(a.s) AS nx, len(b.s) AS ny, len(list_intersect(a.s, b.s)) AS o FROM s a JOIN s b ON a.source = b.source AND a.doc < b.doc AND least(len(a.s), len(b.s)) > 0 AND 10 * least(len(a.s), len(b.s)) >= 8 * greatest(len(a.s), len(b.s)))
+SELECT x AS doc_a, y AS doc_b, cx AS copies_a, cy AS copies_b, round(o / (nx + ny - o), 9) AS jaccard FROM p WHERE 10 * o >= 8 * (nx + ny - o)""")
 def q23b_jaccard_of_copies(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", text.stems("text").alias("s"), F.left(text.fold("text"), F.lit(20)).alias("head"))
-    from kindred.operators.linkage import suffixed
-
-    pairs = suffixed(rows, "a", ["source", "head"]).join(suffixed(rows, "b", ["source", "head"]), ["source", "head"]).where("doc_id_a < doc_id_b")
-    return pairs.select(F.col("doc_id_a").alias("doc_a"), F.col("doc_id_b").alias("doc_b"), F.round(numbers.jaccard(F.col("s_a"), F.col("s_b")), 9).alias("jaccard")).where("jaccard is not null")
-
-
-VOTES = """known AS (SELECT doc_id, lang, list_distinct(list_transform(regexp_extract_all(lower(text), '[\\p{L}]{2,}'), lambda x: x)) AS w FROM documents WHERE doc_id % 2 = 0),
+    """Pairs of texts of one source whose stems have a Jaccard similarity of 0.8 or more, equal stem sets being one row
+    with its number of copies. Candidates share one of the rarest stems of each, as many as 0.8 takes."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", text.stems("text").alias("s"))
+    sets = settled(rows.groupBy("source", "s").agg(F.min("doc_id").alias("doc"), F.count("*").alias("copies")).where(F.size("s") > 0), "stem-sets")
+    stems = sets.select("source", "doc", F.size("s").alias("n"), F.explode("s").alias("stem"))
+    often = stems.groupBy("source", "stem").agg(F.count("*").alias("often")).where("often > 1")
+    # a stem of one set only comes before all others, so places count them too
+    ranked = stems.join(often, ["source", "stem"], "left").withColumn("at", F.row_number().over(Window.partitionBy("source", "doc").orderBy(F.coalesce("often", F.lit(1)), "stem")))
+    leading = ranked.where((F.col("at") <= F.col("n") - F.ceil(F.col("n") * 8 / 10) + 1) & F.col("often").isNotNull()).select("source", "stem", "doc", "n")
+    a, b = (leading.select("source", "stem", F.col("doc").alias(f"doc_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
+    near = a.join(b, ["source", "stem"]).where("doc_a < doc_b and 10 * least(n_a, n_b) >= 8 * greatest(n_a, n_b)").select("doc_a", "doc_b").distinct()
+    left, right = (sets.select(F.col("doc").alias(f"doc_{x}"), F.col("s").alias(f"s_{x}"), F.col("copies").alias(f"copies_{x}")) for x in "ab")
+    pairs = near.join(left, "doc_a").join(right, "doc_b").withColumns({"o": F.size(F.array_intersect("s_a", "s_b")), "all": F.size("s_a") + F.size("s_b")})
+    return pairs.where("10 * o >= 8 * (all - o)").select("doc_a", "doc_b", "copies_a", "copies_b", F.round(numbers.jaccard(F.col("s_a"), F.col("s_b")), 9).alias("jaccard"))
+
+
+VOTES = """known AS (SELECT doc_id, lang, list_distinct(list_transform(regexp_extract_all(lower(text), '[\\p{L}]{2,}'), lambda x: x)) AS w FROM documents),
 c AS (SELECT token, lang, count(*) AS n FROM (SELECT unnest(w) AS token, lang FROM known) GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY token) AS total, row_number() OVER (PARTITION BY token ORDER BY n DESC, lang) AS rn FROM c),
 model AS (SELECT token, lang AS grp, n, n / total AS share FROM t WHERE rn = 1 AND total >= 3 AND n >= 0.85 * total)"""
 
 
 @query(f"WITH {VOTES} SELECT token, grp AS group_, n, round(share, 9) AS share FROM model")
 def q24_keyword_votes(spark, sf_dir):
-    known = table(spark, sf_dir, "documents").where("doc_id % 2 = 0")
-    return classification.votes(known, "text", "lang").select("token", F.col("group").alias("group_"), "n", F.round("share", 9).alias("share"))
+    return classification.votes(table(spark, sf_dir, "documents"), "text", "lang").select("token", F.col("group").alias("group_"), "n", F.round("share", 9).alias("share"))
 
 
-@query(f"""WITH {VOTES}, d AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}]{{2,}}'))) AS token FROM documents WHERE doc_id % 2 = 1), v AS (SELECT doc_id, grp, count(*) AS votes FROM d JOIN model USING (token) GROUP BY 1, 2),
-b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY votes DESC, grp) AS rn FROM v) SELECT b.doc_id, grp AS guess, votes, grp = lang AS right_ FROM b JOIN documents USING (doc_id) WHERE rn = 1""")
+@query("""WITH k AS (SELECT doc_id AS id, lang AS g, unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{L}]{2,}'))) AS token FROM documents), c AS (SELECT token, g, count(*) AS n FROM k GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY token) AS total FROM c),
+r AS (SELECT k.id, t.g, t.n - CASE WHEN k.g = t.g THEN 1 ELSE 0 END AS n, t.total - 1 AS total FROM k JOIN t USING (token)), v AS (SELECT id, g, count(*) AS votes FROM r WHERE total >= 3 AND n >= 0.85 * total GROUP BY 1, 2), b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY votes DESC, g) AS rn FROM v)
+SELECT doc_id, lang AS own, b.g AS guess, b.g = lang AS right_ FROM documents LEFT JOIN b ON b.id = doc_id AND rn = 1""")
 def q24b_voted_texts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    model = classification.votes(docs.where("doc_id % 2 = 0"), "text", "lang")
-    found = classification.voted(docs.where("doc_id % 2 = 1"), "doc_id", "text", model)
-    return found.join(docs.select("doc_id", "lang"), "doc_id").select("doc_id", F.col("group").alias("guess"), "votes", (F.col("group") == F.col("lang")).alias("right_"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.col("lang").alias("own"))
+    return classification.left_out(rows, "doc_id", "text", "own").select("doc_id", "own", "guess", (F.col("guess") == F.col("own")).alias("right_"))
 
 
 @query("""WITH k AS (SELECT p_partkey AS id, p_name, p_brand AS g, unnest(list_distinct(regexp_extract_all(lower(p_name), '[\\p{L}]{2,}'))) AS token FROM part), c AS (SELECT token, g, count(*) AS n FROM k GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY token) AS total FROM c),
@@ -107,13 +116,13 @@ def q28b_shards(spark, sf_dir):
     return rows.groupBy("prefix").agg(F.count("*").alias("n"), F.min("c_custkey").alias("first"))
 
 
-@query("""WITH t AS (SELECT p_partkey, regexp_split_to_array(trim(p_name), '\\s+') AS w FROM part), known AS (SELECT DISTINCT w[1] AS t, 'one' AS g FROM t UNION SELECT DISTINCT array_to_string(w[1:2], ' '), 'two' FROM t WHERE len(w) >= 2 AND p_partkey % 3 = 0),
+@query("""WITH t AS (SELECT p_partkey, regexp_split_to_array(trim(p_name), '\\s+') AS w FROM part), known AS (SELECT DISTINCT w[1] AS t, 'one' AS g FROM t UNION SELECT DISTINCT array_to_string(w[1:2], ' '), 'two' FROM t JOIN part USING (p_partkey) WHERE len(w) >= 2 AND p_size > 30),
 r AS (SELECT p_partkey, array_to_string(w[1:k], ' ') AS t, k FROM (SELECT p_partkey, w, unnest(range(1, len(w) + 1)) AS k FROM t)), m AS (SELECT p_partkey, known.t, g, k, row_number() OVER (PARTITION BY p_partkey ORDER BY k DESC, known.t) AS rn FROM r JOIN known ON known.t = r.t)
 SELECT p_partkey, t AS text, max(g) AS group_ FROM m WHERE rn = 1 GROUP BY 1, 2""")
 def q44_token_runs(spark, sf_dir):
     rows = table(spark, sf_dir, "part")
     w = F.split(F.trim("p_name"), r"\s+")
-    one, two = rows.select(F.get(w, F.lit(0)).alias("text"), F.lit("one").alias("group")), rows.where((F.size(w) >= 2) & (F.col("p_partkey") % 3 == 0)).select(F.array_join(F.slice(w, 1, 2), " ").alias("text"), F.lit("two").alias("group"))
+    one, two = rows.select(F.get(w, F.lit(0)).alias("text"), F.lit("one").alias("group")), rows.where((F.size(w) >= 2) & (F.col("p_size") > 30)).select(F.array_join(F.slice(w, 1, 2), " ").alias("text"), F.lit("two").alias("group"))
     return classification.run_lookup(rows, "p_partkey", "p_name", one.unionByName(two).distinct()).select("p_partkey", "text", F.col("group").alias("group_"))
 
 
@@ -128,15 +137,15 @@ def q44b_same_start(spark, sf_dir):
 
 
 @query(f"""WITH d AS (SELECT doc_id, text, {fold("text")} AS f FROM documents)
-SELECT doc_id, regexp_split_to_array(trim(text), '\\s+')[1] AS first, len(string_split(text, '|')) AS bars, lower(left(text, 30)) AS low, upper(lang || source) AS up, ends_with(text, '.') AS dotted, regexp_matches(lower(text), '(licensed|released)') AS flagged,
-  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '([A-Za-z0-9.]+@[a-z0-9.]+)'), lambda x: lower(x)))), ';') AS mails, trim(regexp_replace(regexp_replace(left(f, 200), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '-') AS slug, length(text) >= 190 AS long_,
+SELECT doc_id, regexp_split_to_array(trim(text), '\\s+')[1] AS first, len(string_split(text, '|')) AS bars, lower(regexp_split_to_array(trim(text), '\\s+')[1]) AS low, upper(lang || source) AS up, ends_with(text, '.') AS dotted, regexp_matches(lower(text), '(licensed|released)') AS flagged,
+  array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(text, '([A-Za-z0-9.]+@[a-z0-9.]+)'), lambda x: lower(x)))), ';') AS mails, md5(trim(regexp_replace(regexp_replace(f, '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '-')) AS slug, length(text) >= 190 AS long_,
   lang || ' / ' || source || ' (' || n_chars || ')' AS profile FROM d JOIN documents USING (doc_id, text)""")
 def q49_strings(spark, sf_dir):
     rows = table(spark, sf_dir, "documents")
     t = F.col("text")
     return rows.select(
-        "doc_id", text.first_token("text").alias("first"), F.size(F.split("text", r"\|")).cast("long").alias("bars"), F.lower(F.left("text", F.lit(30))).alias("low"), F.upper(F.concat("lang", "source")).alias("up"), t.endswith(".").alias("dotted"), F.lower("text").rlike("(licensed|released)").alias("flagged"),
-        text.extracted("text", r"([A-Za-z0-9.]+@[a-z0-9.]+)").alias("mails"), text.slug(F.left(text.fold("text"), F.lit(200))).alias("slug"), (F.char_length("text") >= 190).alias("long_"), F.format_string("%s / %s (%d)", "lang", "source", "n_chars").alias("profile"),
+        "doc_id", text.first_token("text").alias("first"), F.size(F.split("text", r"\|")).cast("long").alias("bars"), F.lower(text.first_token("text")).alias("low"), F.upper(F.concat("lang", "source")).alias("up"), t.endswith(".").alias("dotted"), F.lower("text").rlike("(licensed|released)").alias("flagged"),
+        text.extracted("text", r"([A-Za-z0-9.]+@[a-z0-9.]+)").alias("mails"), F.md5(text.slug(text.fold("text"))).alias("slug"), (F.char_length("text") >= 190).alias("long_"), F.format_string("%s / %s (%d)", "lang", "source", "n_chars").alias("profile"),
     )
 
 
@@ -145,18 +154,18 @@ def q49b_strings_of_parts(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(text.titles("p_type", F.lit("")), " ").alias("titles"), text.letters_only("p_name").alias("letters"), F.regexp_replace(F.lower("p_name"), r"^[a-z]+\s+", "").alias("stripped"), F.translate("p_name", "aeiou", "").alias("consonants"), text.name_norm("p_brand").alias("norm"))
 
 
-@query("""WITH k AS (SELECT doc_id, lower(trim(regexp_extract(text, '^[A-Za-z]+'))) AS first, lower(regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*$', 1)) AS surname, CASE WHEN lang = 'fr' THEN 'Z' ELSE 'M' END AS sex FROM documents WHERE text <> ''), n AS (SELECT first, sum(CASE WHEN sex = 'Z' THEN 1 ELSE 0 END) AS z, sum(CASE WHEN sex = 'M' THEN 1 ELSE 0 END) AS m FROM k GROUP BY 1),
+@query("""WITH k AS (SELECT doc_id, lower(trim(regexp_extract(text, '^[A-Za-z]+'))) AS first, lower(regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*$', 1)) AS surname, CASE WHEN lang = 'fr' THEN 'Z' ELSE 'M' END AS sex FROM documents), n AS (SELECT first, sum(CASE WHEN sex = 'Z' THEN 1 ELSE 0 END) AS z, sum(CASE WHEN sex = 'M' THEN 1 ELSE 0 END) AS m FROM k GROUP BY 1),
 g AS (SELECT first, CASE WHEN z >= 0.95 * (z + m) THEN 'Z' WHEN m >= 0.95 * (z + m) THEN 'M' END AS g FROM n)
 SELECT doc_id, CASE WHEN g = 'Z' THEN 'Z' WHEN g = 'M' AND NOT regexp_matches(surname, '(á|ova|ová)$') THEN 'M' WHEN g IS NULL AND regexp_matches(surname, '(á|ova|ová)$') THEN 'Z' END AS gender FROM k JOIN g USING (first)""")
 def q15c_gender(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", F.lower(F.trim(F.regexp_extract("text", "^[A-Za-z]+", 0))).alias("first"), F.lower(F.regexp_extract("text", "([A-Za-z]+)[^A-Za-z]*$", 1)).alias("surname"), F.when(F.col("lang") == "fr", "Z").otherwise("M").alias("sex"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.trim(F.regexp_extract("text", "^[A-Za-z]+", 0))).alias("first"), F.lower(F.regexp_extract("text", "([A-Za-z]+)[^A-Za-z]*$", 1)).alias("surname"), F.when(F.col("lang") == "fr", "Z").otherwise("M").alias("sex"))
     births = rows.groupBy(F.col("first").alias("name"), "sex").agg(F.count("*").alias("n"))
     return classification.gender(rows, "first", "surname", classification.name_gender(births)).select("doc_id", "gender")
 
 
 @query()
 def q24d_tail_groups(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("t"), "p_brand")
-    known = rows.where("p_partkey % 5 = 0").groupBy(F.col("t").alias("text")).agg(F.min("p_brand").alias("group"))
-    model = classification.votes(rows.where("p_partkey % 2 = 0"), "t", "p_brand", share=0.3)
-    return classification.tail_groups(rows.where("p_partkey % 2 = 1"), "p_partkey", "t", known, model, [("^retired", "status")], [("z$", "weak")])
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("t"), "p_brand", "p_size")
+    known = rows.where("p_size <= 10").groupBy(F.col("t").alias("text")).agg(F.min("p_brand").alias("group"))
+    model = classification.votes(rows, "t", "p_brand", share=0.3)
+    return classification.tail_groups(rows, "p_partkey", "t", known, model, [("^retired", "status")], [("z$", "weak")])
