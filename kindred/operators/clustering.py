@@ -1,117 +1,143 @@
 """Entities from scored pairs: constrained clustering, greedy one-to-one assignment, connected components.
 
-The constrained clustering is a fold over ordered pairs and no relational operation. Pairs only connect records of one
-blocking key, and every check looks at the two clusters concerned, so the fold runs for each key by itself (its rows
-are the namesakes of one name); the order is total, so the result doesn't depend on partitions.
+Only automatic proposals put records together, and all of them come before any other pair's turn. So the ordered part is a
+fold over the automatic pairs of one connected component, which is small however common a name is; what becomes of every
+other pair follows from the persons that result, in joins.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable
+from typing import NamedTuple
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.session import settled
+from kindred.session import discarded, settled
 
-#: Pairs below are not looked at for merging; every pair across two clusters needs that much direct evidence.
+#: Pairs below are not looked at for merging; every pair across two persons needs that much direct evidence.
 CONSIDERED, DIRECT = 0.5, 0.5
-RANKS = {"auto_match": 0, "auto_jev": 1, "manual_review": 2, "possible_match": 2}
-
-
-class Clusters:
-    """Disjoint sets with the elections and the common birth window of each."""
-
-    def __init__(self, nodes: dict[str, tuple[int, int, int]], direct: dict[tuple[str, str], float]):
-        """nodes: record -> (election, first and last day); direct: probability of each scored pair, either order."""
-        self.root = {n: n for n in nodes}
-        self.members = {n: [n] for n in nodes}
-        self.elections = {n: {v[0]} for n, v in nodes.items()}
-        self.windows = {n: (v[1], v[2]) for n, v in nodes.items()}
-        self.direct = direct
-
-    def find(self, n: str) -> str:
-        while self.root[n] != n:
-            n = self.root[n]
-        return n
-
-    def obstacle(self, a: str, b: str) -> str | None:
-        """Why the clusters of two records can't be one person, if so."""
-        a, b = self.find(a), self.find(b)
-        if self.elections[a] & self.elections[b]:
-            return "conflict_election_clash"
-        lo, hi = max(self.windows[a][0], self.windows[b][0]), min(self.windows[a][1], self.windows[b][1])
-        return "conflict_birth_clash" if lo > hi else None
-
-    def direct_enough(self, a: str, b: str) -> bool:
-        """Every pair across two clusters has direct evidence."""
-        pairs = ((x, y) for x in self.members[self.find(a)] for y in self.members[self.find(b)])
-        return all(self.direct.get((x, y), self.direct.get((y, x), 0.0)) >= DIRECT for x, y in pairs)
-
-    def merge(self, a: str, b: str) -> None:
-        a, b = self.find(a), self.find(b)
-        if len(self.members[a]) < len(self.members[b]):
-            a, b = b, a
-        self.root[b] = a
-        self.members[a] += self.members.pop(b)
-        self.elections[a] |= self.elections.pop(b)
-        (lo, hi), (lo2, hi2) = self.windows[a], self.windows.pop(b)
-        self.windows[a] = (max(lo, lo2), min(hi, hi2))
+#: Automatic proposals in the order of their turns; others come last.
+AUTOMATIC = ("auto_match", "auto_jev")
+RANKS = {name: AUTOMATIC.index(name) if name in AUTOMATIC else len(AUTOMATIC) for name in (*AUTOMATIC, "manual_review", "possible_match")}
+ELECTIONS, BIRTHS, EVIDENCE = "conflict_election_clash", "conflict_birth_clash", "conflict_transitive"
+
+
+class Person(NamedTuple):
+    """Records taken for one person, their elections and the days on which all of them can be born."""
+
+    records: frozenset
+    elections: frozenset
+    first: int
+    last: int
+
+
+def clash(one: Person, two: Person) -> str | None:
+    """What keeps two persons apart whatever the evidence."""
+    if not one.elections.isdisjoint(two.elections):
+        return ELECTIONS
+    return BIRTHS if max(one.first, two.first) > min(one.last, two.last) else None
+
+
+def folded(records: Iterable[tuple[str, int, int, int]], pairs: list[tuple[str, str, str]], evidence: Iterable[tuple[str, str]]) -> tuple[list[str], dict[str, Person]]:
+    """Outcome of each automatic pair (a, b, proposal) in the order of their turns, and each record's person.
+    evidence: pairs of records whose direct probability is at least DIRECT."""
+    holder = {name: Person(frozenset([name]), frozenset([election]), first, last) for name, election, first, last in records}
+    near = defaultdict(set)
+    for a, b in evidence:
+        near[a].add(b)
+        near[b].add(a)
+    outcomes = []
+    for a, b, proposal in pairs:
+        one, two = holder[a], holder[b]
+        if one is two:
+            outcomes.append("implied")
+        elif why := clash(one, two):
+            outcomes.append(why)
+        elif not all(two.records <= near[r] for r in one.records):
+            outcomes.append(EVIDENCE)
+        else:
+            both = Person(one.records | two.records, one.elections | two.elections, max(one.first, two.first), min(one.last, two.last))
+            holder |= dict.fromkeys(both.records, both)
+            outcomes.append(proposal)
+    return outcomes, holder
 
 
 def decide(nodes: dict[str, tuple[int, int, int]], edges: list[dict]) -> tuple[list[str], dict[str, str]]:
-    """Decisions of the edges (pe_a, pe_b, p, proposal, split) in their given order, and the person of every node: its
-    cluster's smallest record."""
-    clusters = Clusters(nodes, {(e["pe_a"], e["pe_b"]): e["p"] for e in edges})
-    order = sorted((i for i, e in enumerate(edges) if e["p"] >= CONSIDERED), key=lambda i: (RANKS[edges[i]["proposal"]], -edges[i]["p"], edges[i]["pe_a"], edges[i]["pe_b"]))
-    decisions = ["no_match"] * len(edges)
-    for i in order:
-        e, (a, b) = edges[i], (edges[i]["pe_a"], edges[i]["pe_b"])
+    """The whole clustering of a few records without Spark: decisions of the edges (pe_a, pe_b, p, proposal, split), and the
+    person of every node, named by its smallest record."""
+    turns = sorted((RANKS[e["proposal"]], -e["p"], e["pe_a"], e["pe_b"], i) for i, e in enumerate(edges) if e["p"] >= CONSIDERED and not e["split"] and e["proposal"] in AUTOMATIC)
+    found, holder = folded([(n, *v) for n, v in nodes.items()], [(e["pe_a"], e["pe_b"], e["proposal"]) for e in (edges[t[-1]] for t in turns)], [(e["pe_a"], e["pe_b"]) for e in edges if e["p"] >= DIRECT])
+    decisions = dict(zip((t[-1] for t in turns), found, strict=True))
+
+    def other(e: dict) -> str:
+        one, two, possible = holder[e["pe_a"]], holder[e["pe_b"]], e["proposal"] == "possible_match"
+        if e["p"] < CONSIDERED:
+            return "no_match"
         if e["split"]:  # a record that holds two namesakes is never merged
-            decisions[i] = "possible_match" if e["proposal"] == "possible_match" else "manual_review_namesake"
-        elif clusters.find(a) == clusters.find(b):
-            decisions[i] = "implied"
-        elif why := clusters.obstacle(a, b):
-            decisions[i] = "no_match" if e["proposal"] == "possible_match" else why
-        elif not e["proposal"].startswith("auto"):
-            decisions[i] = e["proposal"]
-        elif not clusters.direct_enough(a, b):
-            decisions[i] = "conflict_transitive"
-        else:
-            decisions[i] = e["proposal"]
-            clusters.merge(a, b)
-    for i in order:
-        e = edges[i]
-        if decisions[i] in ("manual_review", "possible_match") and not e["split"] and clusters.find(e["pe_a"]) == clusters.find(e["pe_b"]):
-            decisions[i] = "implied"
-    return decisions, {n: min(clusters.members[clusters.find(n)]) for n in nodes}
+            return "possible_match" if possible else "manual_review_namesake"
+        if one is two:
+            return "implied"
+        why = clash(one, two)
+        return e["proposal"] if why is None else "no_match" if possible else why
+
+    return [decisions[i] if i in decisions else other(e) for i, e in enumerate(edges)], {n: min(p.records) for n, p in holder.items()}
 
 
 def constrained(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """nodes (key, pe, year, blo, bhi), edges (key, pe_a, pe_b, p, proposal, split) -> (edges with decision, (pe, person)).
 
-    Both come out of one pass over the keys that have edges; records without one are their own person.
+    Records without an automatic pair are their own person and never leave the JVM.
     """
     day = F.lit("1900-01-01").cast("date")
-    own = nodes.select("key", "pe", F.col("year").cast("long").alias("year"), F.datediff("blo", day).cast("long").alias("lo"), F.datediff("bhi", day).cast("long").alias("hi"))
-    linked = edges.select("key", "pe_a", "pe_b", F.col("p").cast("double").alias("p"), "proposal", "split")
+    own = settled(nodes.select("pe", F.col("year").cast("long").alias("year"), F.datediff("blo", day).cast("long").alias("lo"), F.datediff("bhi", day).cast("long").alias("hi")), "records")
+    pairs = edges.select("pe_a", "pe_b", F.col("p").cast("double").alias("p"), "proposal", "split")
+    considered = settled(pairs.where(F.col("p") >= CONSIDERED), "considered")
+    turn = F.col("proposal").isin(*AUTOMATIC) & ~F.col("split")
+    automatic = considered.where(turn)
+    parts = settled(connected(automatic, "pe_a", "pe_b"), "parts")
+
+    # evidence of any kind counts, within a component
+    sides = parts.select(F.col("node").alias("pe_a"), "component").join(considered, "pe_a")
+    inside = sides.join(parts.select(F.col("node").alias("pe_b"), F.col("component").alias("other")), "pe_b").where("component = other").select("component", "pe_a", "pe_b", "p", "proposal", turn.alias("turn"))
+    inside = settled(inside, "evidence")
+    grouped = own.join(parts, F.col("pe") == F.col("node")).select("component", "pe", "year", "lo", "hi")
 
     def fold(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if right.empty:
-            return pd.DataFrame({"pe": left.pe, "other": None, "p": None, "result": left.pe, "is_edge": False})
-        records = {r.pe: (int(r.year), int(r.lo), int(r.hi)) for r in left.itertuples()}
-        rows = right.to_dict("records")
-        decisions, persons = decide(records, rows)
-        return pd.concat(
-            [
-                pd.DataFrame({"pe": right.pe_a, "other": right.pe_b, "p": right.p, "result": decisions, "is_edge": True}),
-                pd.DataFrame({"pe": list(persons), "other": None, "p": None, "result": list(persons.values()), "is_edge": False}),
-            ]
-        )
-
-    both = own.groupBy("key").cogroup(linked.groupBy("key")).applyInPandas(fold, "pe string, other string, p double, result string, is_edge boolean")
-    both = settled(both, "clusters")
-    decided = both.where("is_edge").select(F.col("pe").alias("pe_a"), F.col("other").alias("pe_b"), "p", F.col("result").alias("decision"))
-    return decided, both.where("not is_edge").select("pe", F.col("result").alias("person"))
+        turns = right[right.turn].assign(rank=lambda r: r.proposal.map(RANKS)).sort_values(["rank", "p", "pe_a", "pe_b"], ascending=[True, False, True, True])
+        strong = right[right.p >= DIRECT]
+        found, holder = folded(left[["pe", "year", "lo", "hi"]].itertuples(index=False, name=None), list(zip(turns.pe_a, turns.pe_b, turns.proposal, strict=True)), zip(strong.pe_a, strong.pe_b, strict=True))
+        names = {n: min(p.records) for n, p in holder.items()}
+        n, m = len(turns), len(names)
+        return pd.DataFrame({"pe": [*turns.pe_a, *names], "other": pd.Series([*turns.pe_b, *[None] * m], dtype=object), "result": [*found, *names.values()], "is_edge": [True] * n + [False] * m})
+
+    both = settled(grouped.groupBy("component").cogroup(inside.groupBy("component")).applyInPandas(fold, "pe string, other string, result string, is_edge boolean"), "clusters")
+    merged = both.where("not is_edge").select("pe", F.col("result").alias("person"))
+    persons = settled(own.select("pe").join(merged, "pe", "left").select("pe", F.coalesce("person", "pe").alias("person")), "persons")
+    decided = considered.join(both.where("is_edge").select(F.col("pe").alias("pe_a"), F.col("other").alias("pe_b"), F.col("result").alias("outcome")), ["pe_a", "pe_b"], "left")
+
+    # a person's elections and common birth window, beside both ends of the pairs that had no turn
+    spans = settled(own.join(persons, "pe").groupBy("person").agg(F.collect_set("year").alias("years"), F.max("lo").alias("lo"), F.min("hi").alias("hi")), "spans")
+    named = decided
+    for side in "ab":
+        ends = persons.join(spans, "person").select(F.col("pe").alias(f"pe_{side}"), *(F.col(c).alias(f"{c}_{side}") for c in ("person", "years", "lo", "hi")))
+        named = named.join(ends, f"pe_{side}")
+    low = pairs.where(~(F.col("p") >= CONSIDERED) | F.col("p").isNull()).select("pe_a", "pe_b", "p", F.lit("no_match").alias("decision"))
+    return named.select("pe_a", "pe_b", "p", F.coalesce("outcome", _without_turn()).alias("decision")).unionByName(low), persons
+
+
+def _without_turn() -> Column:
+    """The decision on a pair that put nothing together, from the persons at its two ends."""
+    possible = F.col("proposal") == "possible_match"
+    why = F.when(F.arrays_overlap("years_a", "years_b"), ELECTIONS).when(F.greatest("lo_a", "lo_b") > F.least("hi_a", "hi_b"), BIRTHS)
+    return (
+        F.when(F.col("split"), F.when(possible, "possible_match").otherwise("manual_review_namesake"))
+        .when(F.col("person_a") == F.col("person_b"), "implied")
+        .when(why.isNotNull(), F.when(possible, "no_match").otherwise(why))
+        .otherwise(F.col("proposal"))
+    )
 
 
 def greedy_pairs(edges: DataFrame, key: str = "key") -> DataFrame:
@@ -143,9 +169,11 @@ def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         hooked = settled(labels.join(near, "node").select("node", "label", F.least("label", "near").alias("next")), "hooked")
         jumps = hooked.select(F.col("node").alias("next"), F.col("next").alias("jump"))
         spread = settled(hooked.join(jumps, "next", "left").select("node", F.coalesce("jump", "next").alias("label"), (F.coalesce("jump", "next") != F.col("label")).alias("moved")), "labels")
-        labels = spread.select("node", "label")
+        discarded(labels, hooked)
+        labels = spread
         if spread.where("moved").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+            discarded(both)
+            return spread.select("node", F.col("label").alias("component"))
 
 
 def clash_within(rows: DataFrame, by: list[str], lo: str = "blo", hi: str = "bhi") -> DataFrame:

@@ -232,10 +232,12 @@ def q43_random_partner(spark, sf_dir):
     return pairs.select("id_b", "id_a", F.col("district_b").alias("district"))
 
 
-@query(f"""WITH {CAND}, s AS (SELECT id, key, year, CAST('0x' || substr(md5('us|' || id), 1, 7) AS BIGINT) % 900 AS slot FROM cand)
+@query(f"""WITH {CAND}, s AS (SELECT id, key, year, CAST('0x' || substr(md5('us|' || id), 1, 7) AS BIGINT) % (SELECT greatest(count(*) // 17, 1) FROM cand) AS slot FROM cand)
 SELECT a.id AS id_a, b.id AS id_b FROM s a JOIN s b ON a.slot = b.slot AND a.year < b.year AND a.key <> b.key""")
 def q43b_strangers(spark, sf_dir):
-    rows = candidacies(spark, sf_dir).select("id", "key", "year").withColumn("slot", draw(F.lit(900), "id", seed="us"))
+    rows = candidacies(spark, sf_dir).select("id", "key", "year")
+    # as many slots as keep a slot's rows about the same, so strangers grow with the rows
+    rows = rows.withColumn("slot", draw(F.lit(max(rows.count() // 17, 1)), "id", seed="us"))
     a, b = linkage.suffixed(rows, "a", ["slot"]), linkage.suffixed(rows, "b", ["slot"])
     return a.join(b, "slot").where("year_a < year_b and key_a <> key_b").select("id_a", "id_b")
 
