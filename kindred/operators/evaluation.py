@@ -7,13 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.session import settled
+
+
+#: Buckets that distinct scores are dealt to for cumulated counts.
+BUCKETS = 256
+
+
+def _ranged(counts: DataFrame, score: str) -> DataFrame:
+    """counts with their bucket: ranges of scores with about as many distinct ones each. The edges are approximate
+    quantiles, a fixed number of them; any edges give the same cumulated counts."""
+    edges = counts.agg(F.percentile_approx(score, F.array(*(F.lit(i / BUCKETS) for i in range(1, BUCKETS))), F.lit(10_000)).alias("edges"))
+    return counts.join(F.broadcast(edges)).withColumn("bucket", F.size(F.filter("edges", lambda e: e < F.col(score)))).drop("edges")
+
 
 def auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Chance that a positive scores above a negative, ties half. From counts by distinct score: cumulated from the lowest,
-    each score's positives beat the negatives below and half of those beside them."""
+    """Chance that a positive scores above a negative, ties half. From counts by distinct score: each score's positives beat
+    the negatives below and half of those beside them. Negatives below are cumulated within ranges of scores, and over the
+    ranges' sums, so no task sees all scores."""
     counts = df.groupBy(score).agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    won = counts.withColumn("won", F.col("pos") * (below + F.col("neg") / 2))
+    ranged = settled(_ranged(counts.where(F.col(score).isNotNull()), score), "ranged-scores")
+    sums = ranged.groupBy("bucket").agg(F.sum("neg").alias("all"))  # a row for each range
+    before = sums.select("bucket", F.coalesce(F.sum("all").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inside = F.coalesce(F.sum("neg").over(Window.partitionBy("bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    won = ranged.join(F.broadcast(before), "bucket").withColumn("won", F.col("pos") * (F.col("before") + inside + F.col("neg") / 2))
     return won.agg((F.sum("won") / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("auc"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
 
 
@@ -27,8 +44,18 @@ def sweep(df: DataFrame, score: str, label: str, thresholds: Sequence[float]) ->
 
 
 def recall_at(df: DataFrame, score: str, label: str, false_rate: float = 0.01) -> DataFrame:
-    """Share of positives above the negatives' (1 - false_rate) quantile."""
-    cut = df.where(F.col(label) != 1).agg(F.percentile(score, F.lit(1 - false_rate)).alias("threshold"))
+    """Share of positives above the negatives' (1 - false_rate) quantile, interpolated. The two scores around it are found
+    by cumulated counts, within the range of scores that holds them."""
+    counts = df.where((F.col(label) != 1) & F.col(score).isNotNull()).groupBy(score).agg(F.count("*").alias("n"))
+    ranged = settled(_ranged(counts, score), "ranged-scores")
+    sums = ranged.groupBy("bucket").agg(F.sum("n").alias("all"))
+    before = sums.select("bucket", F.coalesce(F.sum("all").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"), (F.sum("all").over(Window.partitionBy()) - 1).alias("top"))
+    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, 0))
+    placed = ranged.join(F.broadcast(before), "bucket").withColumn("last", F.col("before") + upto - 1)
+    at = F.col("top") * F.lit(1 - false_rate)
+    # the score at a place is the smallest one whose rows go that far
+    around = placed.agg(F.min(F.when(F.col("last") >= F.floor(at), F.col(score))).alias("low"), F.min(F.when(F.col("last") >= F.ceil(at), F.col(score))).alias("high"), F.first(at - F.floor(at)).alias("part"))
+    cut = around.select((F.col("low") + (F.col("high") - F.col("low")) * F.col("part")).alias("threshold"))
     return df.where(F.col(label) == 1).join(F.broadcast(cut)).groupBy("threshold").agg(F.avg((F.col(score) > F.col("threshold")).cast("double")).alias("tpr"))
 
 

@@ -9,7 +9,7 @@ from kindred.functions import text
 from kindred.operators import classification, linkage, marts
 from kindred.plans.catalogue import CAND, candidacies, query
 from kindred.plans.q_linkage import SCORED, scored
-from kindred.session import scratch, table
+from kindred.session import scratch, settled, table
 from kindred.sources import readers, sinks
 
 
@@ -355,3 +355,34 @@ def q75_cross_pairs(spark, sf_dir):
     pairs = linkage.suffixed(rows, "a", ["o_custkey"]).join(linkage.suffixed(rows, "b", ["o_custkey"]), "o_custkey").where("x_a < x_b")
     marked = pairs.select((F.col("own_a") == F.col("own_b")).alias("ours"), (F.abs(F.col("x_a") - F.col("x_b")) < 4000).alias("theirs"))
     return evaluation.agreement(marked, "ours", "theirs").select(F.col("both").alias("both_"), "only_ours", "only_theirs", "neither")
+
+
+@query(f"""WITH {CAND}, c AS (SELECT id, key, year, parts, price, party, region, blo, bhi, list_sort(list_distinct(regexp_extract_all(lower(occ), '[a-z]+'))) AS t FROM cand),
+p AS (SELECT a.id AS id_a, b.id AS id_b, a.t AS ta, b.t AS tb, a.parts AS pa, b.parts AS pb, a.price AS ra, b.price AS rb, a.region AS ga, b.region AS gb FROM c a JOIN c b ON a.key = b.key AND a.year < b.year AND date_diff('day', greatest(a.blo, b.blo), least(a.bhi, b.bhi)) + 1 > -366)
+SELECT id_a, id_b, CASE WHEN len(ta) = 0 AND len(tb) = 0 THEN 'none' WHEN ta = tb THEN 'same' WHEN len(list_filter(ta, lambda x: NOT list_contains(tb, x))) = 0 AND len(ta) < len(tb) THEN 'gained' ELSE 'other' END AS titles,
+  CASE WHEN len(pa) = 0 OR len(pb) = 0 THEN 'na' WHEN len(list_intersect(pa, pb)) > 0 THEN 'shared' ELSE 'none' END AS list_party,
+  CASE WHEN len(ta) = 0 OR len(tb) = 0 THEN 'missing' WHEN ta = tb THEN 'same' WHEN rb > 350000 AND NOT ra > 350000 THEN 'to_retired' WHEN ra < 20000 AND NOT rb < 20000 THEN 'from_student'
+    WHEN len(list_intersect(ta, tb)) >= 0.5 * len(list_distinct(list_concat(ta, tb))) OR len(list_filter(ta, lambda x: NOT list_contains(tb, x))) = 0 OR len(list_filter(tb, lambda x: NOT list_contains(ta, x))) = 0 THEN 'similar' WHEN ga <> '' AND ga = gb THEN 'same_field' ELSE 'diff' END AS occ FROM p""")
+def q76_further_levels(spark, sf_dir):
+    """Levels of titles, list parties and occupations of the pairs of a name."""
+    words = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower("occ"), F.lit("([a-z]+)"), 1)))
+    rows = candidacies(spark, sf_dir).select("id", "key", "year", "blo", "bhi", "parts", "region", words.alias("t"), (F.col("price") > 350000).alias("retired"), (F.col("price") < 20000).alias("student"))
+    pairs = linkage.blocked_pairs(rows)
+    return pairs.select("id_a", "id_b", linkage.titles_level("t").alias("titles"), linkage.list_party_level("parts").alias("list_party"), linkage.occupation_level("t", "region", "retired", "student").alias("occ"))
+
+
+@query(f"""WITH {CAND}, n AS (SELECT count(*) AS c FROM cand), sa AS (SELECT cand.*, CAST('0x' || substr(md5('strangersa|' || key || '|' || id), 1, 7) AS BIGINT) % (SELECT greatest(1, c * c // 40000) FROM n) AS slot FROM cand), sb AS (SELECT cand.*, CAST('0x' || substr(md5('strangersb|' || key || '|' || id), 1, 7) AS BIGINT) % (SELECT greatest(1, c * c // 40000) FROM n) AS slot FROM cand),
+far AS (SELECT 'u' AS kind, a.party = b.party AS same, a.region <> '' AND a.region = b.region AS near FROM sa a JOIN sb b ON a.slot = b.slot AND a.year < b.year AND a.key <> b.key),
+num AS (SELECT *, row_number() OVER (PARTITION BY council ORDER BY id) AS rn, count(*) OVER (PARTITION BY council) AS size FROM cand), pick AS (SELECT *, CAST('0x' || substr(md5('partner|' || id), 1, 7) AS BIGINT) % size + 1 AS want FROM num),
+loc AS (SELECT 'u_loc' AS kind, a.party = b.party AS same, a.region <> '' AND a.region = b.region AS near FROM pick b JOIN num a ON a.council = b.council AND a.rn = b.want WHERE a.year < b.year AND a.key <> b.key),
+x AS (SELECT * FROM far UNION ALL SELECT * FROM loc) SELECT kind, count(*) AS n, round(avg(CASE WHEN same THEN 1.0 ELSE 0.0 END), 9) AS party, round(avg(CASE WHEN near THEN 1.0 ELSE 0.0 END), 9) AS region FROM x GROUP BY 1""")
+def q76b_strangers_agree(spark, sf_dir):
+    """How often strangers agree, drawn from all rows and from those of one place: what u and u_loc are made from."""
+    rows = settled(candidacies(spark, sf_dir).select("id", "key", "year", "party", "region", "council"), "rows")
+    far = linkage.strangers(rows, 20_000, rows.count())
+    near = linkage.partners_within(rows, rows, "council").where("year_a < year_b and key_a <> key_b")
+    found = None
+    for kind, pairs in (("u", far), ("u_loc", near)):
+        own = pairs.select(F.lit(kind).alias("kind"), (F.col("party_a") == F.col("party_b")).alias("same"), linkage.known_and_equal("region").alias("near"))
+        found = own if found is None else found.unionByName(own)
+    return found.groupBy("kind").agg(F.count("*").alias("n"), F.round(F.avg(F.col("same").cast("double")), 9).alias("party"), F.round(F.avg(F.col("near").cast("double")), 9).alias("region"))

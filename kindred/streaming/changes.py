@@ -63,7 +63,9 @@ def gated(df: DataFrame, by: str, order: str, opens: Column) -> DataFrame:
 
 class NumberedBatches(DataSource):
     """Stream source of a feed of numbered batches in a folder, body_<n>.xml: the offset is the next number, so a
-    restart goes on after the last committed batch. A batch that isn't there yet ends the poll."""
+    restart goes on after the last committed batch. A batch that isn't there yet ends the poll, as does the option most (of
+    batches in a poll). A poller by its nature runs on the driver, and its folder is one that the driver reads; feeds in a
+    store of many files are read by Spark's own file stream."""
 
     @classmethod
     def name(cls) -> str:
@@ -78,7 +80,7 @@ class NumberedBatches(DataSource):
 
 class _NumberedReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
-        self.folder, self.start = options["path"], int(options.get("start", 1))
+        self.folder, self.start, self.most = options["path"], int(options.get("start", 1)), int(options.get("most", 100))
 
     def initialOffset(self) -> dict:
         return {"next": self.start}
@@ -92,7 +94,7 @@ class _NumberedReader(SimpleDataSourceStreamReader):
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         rows, number = [], start["next"]
-        while (body := self._body(number)) is not None:
+        while len(rows) < self.most and (body := self._body(number)) is not None:
             rows.append((number, body))
             number += 1
         return iter(rows), {"next": number}
