@@ -17,11 +17,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import held_out, narrowed
-from kindred.session import settled
+from kindred.llm.common import held_out, narrowed, smallest_hashes
+from kindred.session import discarded, settled
 
 #: Labelled documents of each class that rules are learned from (the smallest hashes of their ids).
 SAMPLE_PER_CLASS = 1500
+#: So many times as many are drawn first, as some fail the base rule.
+DRAW = 3
 #: Conditions in a rule, rules in a list, thresholds tried for each statistic, and the share of covered pruning rows that
 #: have to be label 0.
 MAX_CONDITIONS, MAX_RULES, THRESHOLDS, MIN_PRECISION = 3, 12, 48, 0.9
@@ -30,6 +32,8 @@ MIN_WORDS, MAX_REPEATED = 50, 50
 
 #: What rules may test. All are finite for every text.
 FEATURES = ("mean_word", "symbols_per_word", "dup_line_share", "repeat_share", "upper_share", "bang_share", "distinct_share", "bar_share", "words_per_line")
+#: All columns that statistics() makes, and what judged() adds.
+STATISTICS = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *FEATURES}
 
 
 def repeated_words(words: Column) -> Column:
@@ -69,13 +73,15 @@ def repeated_words(words: Column) -> Column:
 
 
 def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """df with the statistics of its texts and the features that rules test; text_col goes."""
-    keep = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    """df with the statistics of its texts and the features that rules test; text_col goes. Columns of df that have the
+    name of a statistic give way to it."""
+    names = [c for c in df.columns if c != text_col and c.lower() not in STATISTICS]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    split = df.select(*keep, text.alias("_text"), F.array_remove(F.split(text, r"[ \t-\r]+"), "").alias("_words"), F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t-\r]")).alias("_lines"))
-    names = [c for c in df.columns if c != text_col]
+    # as one column, so that names don't meet those used here
+    own = F.struct(*(F.col(f"`{c}`") for c in names)) if names else F.lit(None)
+    split = df.select(own.alias("_own"), text.alias("_text"), F.array_remove(F.split(text, r"[ \t-\r]+"), "").alias("_words"), F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^ \t-\r]")).alias("_lines"))
     counted = split.select(
-        *(F.col(f"`{c}`") for c in names),
+        "_own",
         F.size("_words").cast("long").alias("n_words"),
         F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -103,7 +109,7 @@ def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
         "words_per_line": per("n_words", "_n_lines"),
     }
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    return counted.select(*(F.col(f"`{c}`") for c in names), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), *(v.alias(k) for k, v in features.items()))
+    return counted.select(*(F.col("_own")[c].alias(c) for c in names), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed.alias("base_failed"), *(v.alias(k) for k, v in features.items()))
 
 
 @dataclass(frozen=True)
@@ -182,27 +188,41 @@ def rejects(rules: list[Rule]) -> Column:
     return F.lit(False) if chain is None else chain.otherwise(False)
 
 
+def _examples(texts: DataFrame, marked: DataFrame, label: int, total: int, per_class: int) -> tuple[list[dict], float]:
+    """(examples of one class, labelled documents that each stands for). DRAW x per_class documents are drawn by ids alone;
+    their texts are settled, so that only they get statistics, and those that pass the base rule are examples, per_class at
+    most. More are drawn while that leaves too few."""
+    own, draw = marked.where(F.col("label") == label), DRAW * per_class
+    while True:
+        drawn = smallest_hashes(own, draw, "doc_id").select("doc_id", "label")
+        sample = settled(texts.join(drawn, "doc_id"), "sampled-texts")
+        passing = settled(statistics(sample).where(~F.col("base_failed")).groupBy("doc_id", "label").agg(F.min(F.struct(*FEATURES)).alias("f")), "examples")
+        n = passing.count()
+        if n >= per_class or draw >= total:
+            rows = [r.asDict() for r in smallest_hashes(passing, per_class, "doc_id").select("doc_id", "label", "f.*").collect()]
+            discarded(sample, passing)
+            return rows, total * n / min(draw, total) / max(len(rows), 1)
+        discarded(sample, passing)
+        draw *= DRAW
+
+
 def learn_from(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_class: int = SAMPLE_PER_CLASS) -> list[Rule]:
-    """Rules from labelled documents outside the held-out third that are in docs and pass the base rule. The sample is drawn
-    from those, so that a sampled row stands for as many as its class has of them by sampled ones."""
+    """Rules from labelled documents outside the held-out third that are in docs and pass the base rule. A row of a class
+    weighs as many labelled documents as it stands for."""
     marked = narrowed(labels, doc_id=("doc_id", "long"), label=(label_col, "double")).where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     marked = marked.groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    texts = narrowed(docs, doc_id=("doc_id", "long"), text=("text", "string")).where(~held_out("doc_id"))
-    passing = statistics(texts).where(~F.col("base_failed")).select("doc_id").distinct()
-    marked = settled(marked.join(passing, "doc_id"), "labelled")
-    sample = [marked.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    # 2 x per_class rows of two numbers: a fixed size. Settled, so that statistics are of the sample's texts only
-    texts = settled(texts.join(F.broadcast(sample[0].unionByName(sample[1])), "doc_id"), "sampled-texts")
-    found = statistics(texts).where(~F.col("base_failed")).select("doc_id", "label", *FEATURES).dropDuplicates(["doc_id"]).collect()
+    texts = narrowed(docs, doc_id=("doc_id", "long"), text=("text", "string"))
+    marked = settled(marked.join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled")
     total = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    own = {c: sum(r["label"] == c for r in found) for c in (0, 1)}
-    if not own[0] or not own[1]:
+    if set(total) != {0, 1}:
         return []
-    return learn([r.asDict() for r in found], (total[1] / own[1]) / (total[0] / own[0]))
+    (bad, each_bad), (good, each_good) = (_examples(texts, marked, c, total[c], per_class) for c in (0, 1))
+    discarded(marked)
+    return learn(bad + good, each_good / each_bad) if bad and good else []
 
 
 def judged(df: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """df without its text, with statistics, base_failed and kept."""
+    """df without its text, with statistics, base_failed and kept, which take the place of columns of these names."""
     return statistics(df, text_col).withColumn("kept", ~F.col("base_failed") & ~rejects(rules))
 
 
