@@ -3,10 +3,11 @@
 Writing. Payloads are HTTP response bodies in chunked transfer framing. A block longer than SEGMENT bytes becomes several
 records: the first (segment 1) and continuations that name it as their origin, the last with the total length. Records are
 lines of a text file with the record separator as line end, so Spark writes real WARC files (gzip) to any store it can
-write to. No chunk or segment holds the separator that a reader looks for: chunks end inside it.
+write to. No block of ours holds the separator that the reader looks for: chunks and segments end inside it.
 
-Reading. Files are read as records by that separator. Continuations are grouped by their origin, ordered by segment number,
-joined and checked against the total length; then the chunked framing is decoded. Records of one segment need no grouping.
+Reading. Files are cut at that separator and the pieces put together by the records' own lengths, so archives of others,
+whose payloads may hold it, are read too. Continuations are grouped by their origin, ordered by segment number, joined and
+checked against the total length; then the chunked framing is decoded. Records of one segment need no grouping.
 
 Of records with equal payloads of at least REVISIT_FROM bytes the one with the largest id is the response, the others
 are revisits that refer to it and have no body. A null payload is empty. Every row is a record of its own, named by the
@@ -25,11 +26,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm.common import narrowed
-from kindred.session import scratch, settled
+from kindred.session import discarded, removed, scratch, settled
 
-#: Block bytes in a record, and chunk bytes in a block.
-SEGMENT, CHUNK = 1 << 18, 1 << 15
+#: Block bytes in a record, and chunk bytes in a block. Longer pages are written in segments.
+SEGMENT, CHUNK = 1 << 14, 1 << 12
 REVISIT_FROM = 1000
+#: Block bytes that a task hands on at a time.
+BATCH_BYTES = 4 << 20
 VERSION = b"WARC/1.1"
 #: Between two records, with what begins the next one: a reader cuts here.
 _MARK = VERSION + b"\r\n"
@@ -38,20 +41,34 @@ RECORD_SCHEMA = "record_id string, record_type string, target_uri string, refers
 
 
 def chunked(payload: bytes) -> bytes:
-    """The payload in chunked framing. A chunk ends inside each mark of the payload, and behind a line feed or carriage
-    return that ends a chunk nothing can join up to one."""
+    """The payload in chunked framing. A chunk ends inside each mark of the payload, and inside what the line end behind the
+    chunk would complete to one."""
     out, at = [], 0
     while at < len(payload):
         stop = min(at + CHUNK, len(payload))
-        mark = payload.find(_MARK, at, stop + len(_MARK))
+        mark = payload.find(_MARK, at, stop)
+        if mark < 0 and payload.endswith(VERSION, at, stop):
+            mark = stop - len(VERSION)
         if mark >= 0:
-            stop = min(stop, mark + 4)
+            stop = mark + 4
         out.append(b"%x\r\n%b\r\n" % (stop - at, payload[at:stop]))
         at = stop
     out.append(b"0\r\n\r\n")
     return b"".join(out)
 
 
+def segments(block: bytes) -> list[bytes]:
+    """The block in parts of SEGMENT bytes, less where the line end behind a part would complete it to a mark."""
+    out, at = [], 0
+    while at < len(block):
+        stop = at + SEGMENT
+        if stop < len(block) and block.endswith(VERSION, at, stop):
+            stop -= 4
+        out.append(block[at:stop])
+        at = stop
+    return out
+
+
 def dechunked(body: bytes) -> bytes:
     """What chunked framing holds; a broken frame is an error."""
     out, at = [], 0
@@ -78,11 +95,11 @@ def response_records(record_id: str, uri: str, payload: bytes, digest: str) -> l
     own = [("WARC-Type", "response"), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http; msgtype=response")]
     if len(block) <= SEGMENT:
         return [record(own, block)]
-    cuts = list(range(0, len(block), SEGMENT))
-    out = [record([*own, ("WARC-Segment-Number", 1)], block[:SEGMENT])]
-    for k, at in enumerate(cuts[1:], 2):
+    parts = segments(block)
+    out = [record([*own, ("WARC-Segment-Number", 1)], parts[0])]
+    for k, part in enumerate(parts[1:], 2):
         more = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{record_id}/{k}>"), ("WARC-Segment-Origin-ID", f"<{record_id}>"), ("WARC-Segment-Number", k)]
-        out.append(record([*more, ("WARC-Segment-Total-Length", len(block) if k == len(cuts) else None)], block[at : at + SEGMENT]))
+        out.append(record([*more, ("WARC-Segment-Total-Length", len(block) if k == len(parts) else None)], part))
     return out
 
 
@@ -125,6 +142,7 @@ def write(df: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url
 
     lines = marked.select("id", "name", "url", "payload", "newest", "target").mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", _END.decode()).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
+    discarded(pages, repeated)
 
 
 _HEAD = re.compile(rb"^([!-9;-~]+):[ \t]*(.*?)[ \t]*\r?$", re.M)
@@ -148,27 +166,60 @@ def parse(line: bytes) -> tuple | None:
     return name(b"warc-record-id"), fields.get(b"warc-type"), fields.get(b"warc-target-uri"), name(b"warc-refers-to"), name(b"warc-segment-origin-id"), segment and int(segment), total and int(total), digest and digest.partition(":")[2], rest[:length]
 
 
-def parsed(line: bytes):
-    """The records of a line, one as a rule. The reader can miss a separator that goes over the end of its buffer, since
-    what comes before it looks like its beginning; the length of a block tells where the next record begins."""
-    while row := parse(line):
-        yield row
-        line = line[line.index(_END) + len(_END) + len(row[-1]) :]
-        if not line.startswith(_END + _MARK):
-            return
-        line = line.removeprefix(_END + _MARK)
+def _needed(line: bytes) -> int | None:
+    """Bytes of the record that begins the line, by its own length; None where the line has no end of a header."""
+    head, found, _ = line.partition(_END)
+    if not found:
+        return None
+    length = re.search(rb"(?im)^content-length:[ \t]*(\d+)", head)
+    return len(head) + len(_END) + (int(length[1]) if length else 0)
+
+
+def parsed(lines):
+    """The records of (file, line) pieces in the order of the files. A record whose payload holds the separator is several
+    lines, put together until its length is reached. A line can hold several records, as the reader misses a separator that
+    goes over the end of its buffer when what comes before looks like its beginning."""
+    parts, have, need, current = [], 0, 0, None
+    for file, line in lines:
+        if file != current:
+            if parts and need is not None:
+                raise ValueError(f"the last record of {current} is cut short: {have} of {need} bytes")
+            parts, have, current, line = [], 0, file, line.removeprefix(_MARK)
+        elif parts:
+            line = _END + _MARK + line
+        parts.append(line)
+        have += len(line)
+        if len(parts) == 1 or need is None:
+            # a header that ends where its block begins with a mark was cut there
+            need = _needed(b"".join(parts))
+        while parts and need is not None and have >= need:
+            whole = parts[0] if len(parts) == 1 else b"".join(parts)
+            parts, have = [], 0
+            yield parse(whole)
+            if whole.startswith(_END + _MARK, need):
+                rest = whole[need + len(_END) + len(_MARK) :]
+                parts, have, need = [rest], len(rest), _needed(rest)
+    if parts and need is not None:
+        raise ValueError(f"the last record of {current} is cut short: {have} of {need} bytes")
 
 
 def records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of a folder of archives."""
-    lines = spark.read.option("lineSep", (_END + _MARK).decode()).text(path).select(F.col("value").cast("binary").alias("line"))
+    """All records of a folder of archives. A compressed file is read by one task, in order."""
+    lines = spark.read.option("lineSep", (_END + _MARK).decode()).text(path).select(F.input_file_name().alias("file"), F.col("value").cast("binary").alias("line"))
 
     def run(batches):
         kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.binary())
         names = ["record_id", "record_type", "target_uri", "refers_to", "origin_id", "segment", "total_length", "payload_digest", "block"]
-        for batch in batches:
-            rows = [r for line in batch.column(0).to_pylist() for r in parsed(line.removeprefix(_MARK))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows, strict=True)) or [()] * 9, kinds, strict=True)], names)
+        pieces = (x for batch in batches for x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        rows, size = [], 0
+        for row in parsed(pieces):
+            rows.append(row)
+            size += len(row[-1])
+            if size > BATCH_BYTES or len(rows) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return lines.mapInArrow(run, RECORD_SCHEMA)
 
@@ -230,6 +281,7 @@ def op1(pages: DataFrame) -> DataFrame:
         "refers_to",
     )
     found = settled(found, "archive-index")
+    removed(spark, path)
     first = found.where("record_type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("length").alias("full"))
     targets = found.where("record_type = 'revisit'").select("refers_to").distinct()
     known = settled(first.join(targets, "refers_to", "left_semi"), "revisited")
