@@ -1,7 +1,8 @@
 """Token counts with a digest cache.
 
-Counts are kept under (content digest, tokenizer digest). A run joins the digests of its texts to the stored counts,
-encodes each distinct text that has none once, and appends the new counts.
+Counts are kept under (content digest, tokenizer digest), the content normalised as the tokenizer gets it: a null text is
+empty. A run joins the digests of its texts to the stored counts, encodes each distinct text that has none once, appends the
+new counts, and reads all its counts from the cache. It goes batch by batch, so copies in later batches are hits.
 
 A null text counts as the empty text, which has 0 tokens. Equal texts share one count. An empty table gives an empty
 result. Columns other than the id and the text are not looked at.
@@ -11,17 +12,19 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import Memo, engine, groups, narrowed, read_bytes
-from kindred.session import scratch
+from kindred.session import lean_write, scratch
 
-CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long"
+CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long, run string"
+#: Batches of a run.
+BATCHES = 4
 _SEGMENT = re.compile(" +[^ ]+| +$")
 #: A longer text is handed on in slices of about so many characters.
 SLICE = 4_000_000
@@ -90,43 +93,44 @@ def tokenizer_digest(model: bytes) -> str:
 
 def stored(spark, cache: str) -> DataFrame:
     """The cache, empty where nothing was stored yet."""
-    try:
+    where = spark._jvm.org.apache.hadoop.fs.Path(cache)
+    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
         return spark.read.schema(CACHE_SCHEMA).parquet(cache)
-    except AnalysisException:
-        return spark.createDataFrame([], CACHE_SCHEMA)
+    return spark.createDataFrame([], CACHE_SCHEMA)
 
 
-def count_tokens(df: DataFrame, model_path: str, cache: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens, cached) of every row; new counts are appended to the cache, a Parquet folder."""
+def count_tokens(df: DataFrame, model_path: str, cache: str, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
+    """(id, n_bytes, n_tokens, cached: known before this run) of every row, all counts read from the cache.
+
+    Rows come in batches by the hash of their id. Each batch looks its digests up, encodes what is missing and appends that,
+    so later batches find what earlier ones counted; a run that ended early goes on from what it stored."""
     spark = df.sparkSession
-    model = read_bytes(model_path)
+    model, run = read_bytes(model_path), uuid.uuid4().hex
     key, shared = tokenizer_digest(model), spark.sparkContext.broadcast(model)
 
     docs = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    # One text for each digest leaves a task at most, so copies don't travel; the join keeps the aggregate's partitioning.
-    distinct = docs.groupBy("digest").agg(F.first("text").alias("text"))
-    known = stored(spark, cache).where(F.col("tokenizer_digest") == key).groupBy(F.col("content_digest").alias("digest")).agg(F.max("n_tokens").alias("known"))
-    wanted = distinct.join(known, "digest", "left").select("digest", "known", F.when(F.col("known").isNull(), F.col("text")).alias("text"))
 
-    def encode(batches):
+    def known() -> DataFrame:
+        rows = stored(spark, cache).where(F.col("tokenizer_digest") == key)
+        return rows.groupBy(F.col("content_digest").alias("digest")).agg(F.max("n_tokens").alias("n_tokens"), F.min(F.col("run") == run).alias("fresh"))
+
+    def encode(found):
         counter = engine(key, lambda: PieceCounter(shared.value))
-        for batch in batches:
-            texts, counts = batch.column(2).to_pylist(), batch.column(1).to_pylist()
-            todo = [i for i, n in enumerate(counts) if n is None]
-            for part in groups([texts[i] for i in todo]):
-                rows = [todo[j] for j in part]
-                for i, n in zip(rows, counter.counts([texts[i] for i in rows]), strict=True):
-                    counts[i] = n
-            old = [n is not None for n in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(old, pa.bool_())], ["digest", "n_tokens", "cached"])
-
-    path = scratch(spark, "token-counts")
-    wanted.mapInArrow(encode, "digest binary, n_tokens long, cached boolean").write.parquet(path)
-    resolved = spark.read.schema("digest binary, n_tokens long, cached boolean").parquet(path)
-    resolved.where(~F.col("cached")).select(F.col("digest").alias("content_digest"), F.lit(key).alias("tokenizer_digest"), "n_tokens").write.mode("append").parquet(cache)
+        for batch in found:
+            texts, counts = batch.column(1).to_pylist(), []
+            for part in groups(texts):
+                counts += counter.counts([texts[i] for i in part])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["content_digest", "n_tokens"])
+
+    for part in range(batches):
+        own = docs.where(F.pmod(F.xxhash64("id"), F.lit(batches)) == part)
+        # one text for each digest leaves a task at most, so copies don't travel; the join keeps the aggregate's partitioning
+        missing = own.groupBy("digest").agg(F.first("text").alias("text")).join(known().select("digest"), "digest", "left_anti")
+        counted = missing.select("digest", "text").mapInArrow(encode, "content_digest binary, n_tokens long")
+        lean_write(counted.select("content_digest", F.lit(key).alias("tokenizer_digest"), "n_tokens", F.lit(run).alias("run")), cache)
     sized = docs.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes"))
-    return sized.join(resolved, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens", "cached")
+    return sized.join(known(), "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (~F.col("fresh")).alias("cached"))
 
 
 def op7(spark, docs: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:
