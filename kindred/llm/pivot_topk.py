@@ -3,13 +3,22 @@
 Inner product search is turned into distance search: with one more component every vector gets the largest norm, and then
 the nearest vectors are those of the highest inner products. Vectors are keyed by (nearest pivot, distance to it) and
 stored range-partitioned and sorted by that key: each pivot's annuli lie next to one another in blocks, and equal keys,
-however many, spread over blocks by id. Queries go through the index in batches of a fixed size. A task walks its blocks
-from the annuli nearest to a query outwards; the triangle inequality gives each block's least distance, and a block in
-which no query can improve on its k-th score is passed over. Scores are exact integers.
-
-Null vectors and those with null or non-finite components take no part; neither do those whose scaled components exceed
-2**31. Shorter vectors count as filled up with zeros. A vector is never its own answer; further rows of its id are not
-either. An id of several rows is one answer, by its best score. Ties go to the smaller id. Without vectors the result is empty. Other columns are not read.
+however many, spread over blocks by id.
+
+Queries go through the index in batches of a bounded size, near ones together, one batch after the other. A batch's first
+thresholds come from the sample; the triangle inequality then gives the annuli of each pivot that can hold an answer, and
+only those are read (a filter on the sorted columns, so Parquet leaves the others out). A task walks its blocks from the
+annuli nearest to a query outwards and passes over those in which no query can improve on its k-th score. How much that
+saves depends on the vectors: where distances hardly differ, as between random directions, nothing can be left out.
+
+Scores are exact: products of floats where every sum is below 2**53, of 64-bit integers below 2**63. Vectors so long that a
+score could go beyond that (a squared norm above 2**62) are kept out of the index and multiplied as whole numbers of any
+size; a score that a long can't hold is returned as the nearest long, its rank is that of the true one.
+
+Null vectors and those with null or non-finite components (also after scaling) take no part. Shorter vectors count as filled
+up with zeros. A vector is never its own answer; further rows of its id are not either. An id of several rows is one answer,
+by its best score, and one query, by its largest vector in the order of components. Ties go to the smaller id. Without
+vectors the result is empty. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,26 +28,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.session import settled
+from kindred.session import discarded, settled
 
 #: Vectors that pivots and first thresholds are taken from, and pivots.
 SAMPLE, PIVOTS = 2048, 48
-#: Vectors in a block of the index, and queries in a batch.
-BLOCK, BATCH = 1024, 8192
+#: Vectors in a block of the index, and queries in a batch: so many, or fewer if their components would be more than that.
+BLOCK, BATCH, BATCH_COMPONENTS = 1024, 8192, 1 << 21
+#: The largest squared norm in the index: inner products of such vectors fit in a long.
+NORM2 = 2.0**62
 
 #: A score below all others (its negative is one too) and the id of an empty place.
 LOW, NONE = -(2**63) + 1, 2**63 - 1
 
-INDEX_SCHEMA = "vec_id long, x array<long>, pivot int, distance double"
+INDEX_SCHEMA = "vec_id long, x array<double>, pivot int, distance double"
+FOUND_SCHEMA = "query_id long, vec_id long, score long, over int, exact binary"
 
 
 def quantised(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64) -> DataFrame:
-    """(vec_id, x) of the rows that take part: floor(scale * component) of each."""
-    doubles = F.col(f"`{vector_col}`").cast("array<double>")
+    """(vec_id, x) of the rows that take part: floor(scale * component) of each, a whole number as a double."""
+    doubles = F.transform(F.col(f"`{vector_col}`").cast("array<double>"), lambda c: c * F.lit(float(scale)))
     # NaN and infinities fail the comparison
-    fit = F.forall("v", lambda c: F.coalesce((F.abs(c) <= 2.0**31 / scale) & ~F.isnan(c), F.lit(False)))
+    fit = F.forall("v", lambda c: F.coalesce((F.abs(c) <= F.lit(1.7976931348623157e308)) & ~F.isnan(c), F.lit(False)))
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), doubles.alias("v")).where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fit)
-    return rows.select("vec_id", F.transform("v", lambda c: F.floor(c * F.lit(float(scale))).cast("long")).alias("x"))
+    # from 2**52 on a double is whole
+    return rows.select("vec_id", F.transform("v", lambda c: F.when(F.abs(c) < 2.0**52, F.floor(c).cast("double")).otherwise(c)).alias("x"))
 
 
 def matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -56,12 +69,11 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products: by float64 as long as every sum is exact, by Python integers beyond."""
-    bound = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * max(a.shape[1], 1)
-    if bound < 2**53:
+    """Integer inner products of vectors of the index. No sum exceeds the product of the norms, which says whether floats
+    are exact; if not, 64-bit integers are."""
+    if not len(a) or not len(b) or np.sqrt((a * a).sum(1).max() * (b * b).sum(1).max()) < 2.0**52:
         return (a @ b.T).astype(np.int64)
-    whole = a.astype(np.int64).astype(object) @ b.astype(np.int64).astype(object).T
-    return np.clip(whole, LOW + 1, -LOW).astype(np.int64)
+    return a.astype(np.int64) @ b.astype(np.int64).T
 
 
 class Pivots:
@@ -150,17 +162,10 @@ class Best:
         return np.repeat(self.ids, real.sum(1)), self.found[real], self.scores[real]
 
 
-def build(vectors: DataFrame) -> tuple[DataFrame, Pivots | None]:
+def build(vectors: DataFrame, width: int, norm2: float) -> tuple[DataFrame, Pivots]:
     """The settled index of all vectors, and its pivots, from a bounded sample (the smallest hashes of the ids)."""
-    shape = vectors.agg(F.max(F.size("x")).alias("width"), F.max(F.aggregate("x", F.lit(0.0), lambda s, c: s + c.cast("double") * c)).alias("norm2"), F.count("*").alias("n")).first()
-    if not shape["n"]:
-        return vectors, None
     sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
-    width = shape["width"]
-    block = np.zeros((len(sample), width))
-    for i, row in enumerate(sample):
-        block[i, : len(row["x"])] = row["x"]
-    pivots = Pivots(np.array([r["vec_id"] for r in sample]), block, shape["norm2"], width)
+    pivots = Pivots(np.array([r["vec_id"] for r in sample]), _stacked(sample, width), norm2, width)
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def key(batches):
@@ -171,7 +176,16 @@ def build(vectors: DataFrame) -> tuple[DataFrame, Pivots | None]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(near.astype(np.int32)), pa.array(away[np.arange(len(near)), near])], ["vec_id", "x", "pivot", "distance"])
 
     keyed = settled(vectors.mapInArrow(key, INDEX_SCHEMA), "keyed-vectors")
-    return settled(keyed.repartitionByRange("pivot", "distance", "vec_id").sortWithinPartitions("pivot", "distance", "vec_id"), "vector-index"), pivots
+    index = settled(keyed.repartitionByRange("pivot", "distance", "vec_id").sortWithinPartitions("pivot", "distance", "vec_id"), "vector-index")
+    discarded(keyed)
+    return index, pivots
+
+
+def _stacked(rows: list, width: int) -> np.ndarray:
+    out = np.zeros((len(rows), width))
+    for i, row in enumerate(rows):
+        out[i, : len(row["x"])] = row["x"]
+    return out
 
 
 def _blocks(batches, width: int):
@@ -186,8 +200,19 @@ def _blocks(batches, width: int):
                 yield ids[at:to], x[at:to], int(pivot[at]), float(distance[at:to].min()), float(distance[at:to].max())
 
 
+def annuli(pivots: Pivots, queries: np.ndarray, to_pivots: np.ndarray, floor: np.ndarray):
+    """The distances to each pivot that an answer to some query can have, as a condition on the index, and as rows (pivot,
+    least, most)."""
+    reach = pivots.reach(queries, np.where(np.isfinite(floor), floor, -1e300))[:, None]
+    least, most = (to_pivots - reach).min(0), (to_pivots + reach).max(0)
+    condition = F.lit(False)
+    for p, (a, b) in enumerate(zip(least.tolist(), most.tolist(), strict=True)):
+        condition |= (F.col("pivot") == p) & F.col("distance").between(a, b)
+    return condition, list(zip(range(len(least)), least.tolist(), most.tolist(), strict=True))
+
+
 def search(index: DataFrame, pivots: Pivots, query_ids: np.ndarray, queries: np.ndarray, k: int) -> DataFrame:
-    """(query_id, vec_id, score): the k best of each task for each query of one batch."""
+    """Settled rows of FOUND_SCHEMA: the k best of each task for each query of one batch."""
     to_pivots = pivots.of_queries(queries)
     first = Best(query_ids, k)
     for at in range(0, len(pivots.sample), BLOCK):
@@ -208,9 +233,60 @@ def search(index: DataFrame, pivots: Pivots, query_ids: np.ndarray, queries: np.
                     if len(part):
                         best.offer(part, block_ids, exact_products(vectors[part], x))
         a, b, c = best.rows()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64())], ["query_id", "vec_id", "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(np.zeros(len(a), np.int32)), pa.nulls(len(a), pa.binary())], ["query_id", "vec_id", "score", "over", "exact"])
+
+    near, _ = annuli(pivots, queries, to_pivots, first.floor)
+    found = settled(index.where(near).select("vec_id", "x", "pivot", "distance").mapInArrow(run, FOUND_SCHEMA), "found")
+    shared.destroy()
+    return found
+
+
+def long_products(vectors: DataFrame, query_ids: np.ndarray, queries: np.ndarray, k: int, width: int) -> DataFrame:
+    """Settled rows of FOUND_SCHEMA from products of whole numbers of any size, for vectors that the index can't hold."""
+    shared = vectors.sparkSession.sparkContext.broadcast((query_ids, [[int(c) for c in q] for q in queries]))
 
-    return index.select("vec_id", "x", "pivot", "distance").mapInArrow(run, "query_id long, vec_id long, score long")
+    def run(batches):
+        ids, own = shared.value
+        best: list[dict[int, int]] = [{} for _ in own]
+        for batch in batches:
+            block = [[int(c) for c in x] for x in matrix(batch.column(1), width)]
+            for q, x, found in zip(ids.tolist(), own, best, strict=True):
+                for i, y in zip(batch.column(0).to_pylist(), block, strict=True):
+                    if i != q:
+                        score = sum(map(int.__mul__, x, y))
+                        found[i] = max(found.get(i, score), score)
+                if len(found) > k:
+                    top = sorted(found.items(), key=lambda item: (-item[1], item[0]))[:k]
+                    found.clear()
+                    found.update(top)
+        rows = [(q, i, max(-(2**63), min(2**63 - 1, s)), (s >= 2**63) - (s < -(2**63)), (s + 2**2200).to_bytes(280, "big")) for q, found in zip(ids.tolist(), best, strict=True) for i, s in found.items()]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [()] * 5, kinds, strict=True)], ["query_id", "vec_id", "score", "over", "exact"])
+
+    found = settled(vectors.select("vec_id", "x").mapInArrow(run, FOUND_SCHEMA), "found")
+    shared.destroy()
+    return found
+
+
+def _batches(queries: DataFrame, size: int):
+    """Batches of about size queries at most, as (ids, rows): those of near pivots together, a pivot of many split by hash.
+    queries: (vec_id, x, pivot). One batch is in memory at a time."""
+    counts = sorted((r["pivot"], r["n"]) for r in queries.groupBy("pivot").agg(F.count("*").alias("n")).collect())
+    plan, open_, room = [], [], 0
+    for pivot, n in counts:
+        if n > size:
+            parts = -(-n // size)
+            plan += [((F.col("pivot") == pivot) & (F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part)) for part in range(parts)]
+        elif n <= room:
+            open_[-1].append(pivot)
+            room -= n
+        else:
+            open_.append([pivot])
+            room = size - n
+    for condition in plan + [F.col("pivot").isin(own) for own in open_]:
+        rows = queries.where(condition).collect()
+        if rows:
+            yield np.array([r["vec_id"] for r in rows]), rows
 
 
 def _grouped(blocks, size: int = 64):
@@ -228,34 +304,53 @@ def _grouped(blocks, size: int = 64):
 def top_k(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows of `vectors` (see quantised) that is_query, a column, marks."""
     spark = vectors.sparkSession
-    vectors = settled(vectors, "vectors")
-    index, pivots = build(vectors)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    if pivots is None:
-        return empty
-    queries = settled(vectors.where(is_query).dropDuplicates(["vec_id"]), "queries")
-    count = queries.count()
-    parts = max(1, -(-count // BATCH))
-    results = None
-    for part in range(parts):
-        # a batch holds about BATCH queries, whatever their number; its vectors are read once for it
-        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).collect()
-        if not rows:
-            continue
-        block = np.zeros((len(rows), pivots.width))
-        for i, row in enumerate(rows):
-            block[i, : len(row["x"])] = row["x"]
-        found = search(index, pivots, np.array([r["vec_id"] for r in rows]), block, k)
-        results = found if results is None else results.unionByName(found)
-    if results is None:
-        return empty
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # an id's rows may come from several tasks; one exchange serves the aggregate and the window
-    distinct = settled(results, "found").repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    norm2 = F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c)
+    vectors = settled(vectors.withColumn("norm2", norm2), "vectors")
+    fits = F.col("norm2") <= NORM2
+    shape = vectors.agg(F.max(F.size("x")).alias("width"), F.max(F.when(fits, F.col("norm2"))).alias("norm2"), F.count("*").alias("n"), F.count(F.when(~fits, 1)).alias("long")).first()
+    found = []
+    if shape["n"]:
+        width = shape["width"]
+        size = max(1, min(BATCH, BATCH_COMPONENTS // max(width, 1)))
+        queries = settled(vectors.where(is_query).groupBy("vec_id").agg(F.max("x").alias("x"), F.lit(0).alias("pivot")), "queries")
+        if shape["norm2"] is not None:
+            inside = vectors.where(fits)
+            index, pivots = build(inside.select("vec_id", "x"), width, shape["norm2"])
+            for ids, rows in _batches(_keyed(queries, pivots, norm2), size):
+                found.append(search(index, pivots, ids, _stacked(rows, width), k))
+        if shape["long"]:
+            queries = queries.withColumn("fits", norm2 <= NORM2)
+            for ids, rows in _batches(queries, size):
+                found.append(long_products(vectors.where(~fits), ids, _stacked(rows, width), k, width))
+            for ids, rows in _batches(queries.where("not fits"), size):
+                found.append(long_products(vectors.where(fits), ids, _stacked(rows, width), k, width))
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    results = found[0]
+    for more in found[1:]:
+        results = results.unionByName(more)
+    best = [F.desc(c) for c in ("over", "order", "exact")]
+    order = Window.partitionBy("query_id").orderBy(*best, "vec_id")
+    # an id's rows may come from several tasks; one exchange serves the aggregate and the window. Beyond the longs the whole
+    # score decides, within them the long
+    results = results.select("query_id", "vec_id", F.struct("over", F.when(F.col("over") == 0, F.col("score")).alias("order"), F.when(F.col("over") != 0, F.col("exact")).alias("exact"), "score").alias("s"))
+    distinct = results.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("s").alias("s")).select("query_id", "vec_id", "s.*")
     ranked = distinct.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def _keyed(queries: DataFrame, pivots: Pivots, norm2) -> DataFrame:
+    """Settled queries of the index with their nearest pivots."""
+    shared = queries.sparkSession.sparkContext.broadcast(pivots)
+
+    def key(batches):
+        for batch in batches:
+            away = shared.value.of_queries(matrix(batch.column(1), shared.value.width))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(away.argmin(1).astype(np.int32) if len(away) else np.empty(0, np.int32))], ["vec_id", "x", "pivot"])
+
+    return settled(queries.where(norm2 <= NORM2).select("vec_id", "x").mapInArrow(key, "vec_id long, x array<double>, pivot int"), "keyed-queries")
+
+
 def op4(embeddings: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     return top_k(quantised(embeddings), F.col("vec_id") % every == 0, k)
 
