@@ -10,6 +10,7 @@ Texts are looked at whole. Input columns other than the id and the text are not
 
 from __future__ import annotations
 
+import heapq
 from itertools import repeat
 
 import numpy as np
@@ -134,6 +135,7 @@ class Scanner:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
         self.templates = [(label, [self.vocabulary[w] for w in words]) for label, words in sequences]
         self.automaton = SuffixAutomaton([tokens for _, tokens in self.templates])
+        self._places: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
         self.phrases = [([self.vocabulary[w] for w in p.encode().split()], label) for p, label in phrases.items()]
 
     def tokens(self, text: str) -> np.ndarray:
@@ -169,30 +171,46 @@ class Scanner:
                     out.append((int(run[i]) - length + 1, template, stop - length, length))
         return out
 
-    def cover(self, tokens: np.ndarray) -> dict[str, float]:
-        """By label the largest share of one of its templates that a chain of spans covers. A span counts for every
-        template that holds it, at its first place there; chains go forward in the text and in the template."""
-        spans = self.spans(tokens)
+    def places(self, template: int, first: int, length: int) -> list[tuple[int, int]]:
+        """(template, first token) of every place in the templates that holds these tokens of one of them."""
+        key = (template, first, length)
+        if key not in self._places:
+            part = self.templates[template][1][first : first + length]
+            self._places[key] = [(k, i) for k, (_, own) in enumerate(self.templates) for i in range(len(own) - length + 1) if own[i : i + length] == part]
+        return self._places[key]
+
+    def cover(self, spans: list[tuple[int, int, int, int]]) -> dict[str, float]:
+        """By label the largest share of one of its templates that a chain of spans covers. A span counts at each place of
+        each template that holds it; chains go forward in the text and in the template."""
+        placed: dict[int, list[tuple[int, int, int]]] = {}
+        for word, template, first, length in spans:
+            for k, at in self.places(template, first, length):
+                placed.setdefault(k, []).append((word, at, length))
         best: dict[str, float] = {}
-        if not spans:
-            return best
-        for label, own in self.templates:
-            chain, size = [], len(own)
-            for word, template, first, length in spans:
-                source = self.templates[template][1]
-                at = self._find(own, source[first : first + length])
-                if at < 0:
-                    continue
-                # the longest chain that this span goes on, in tokens covered
-                before = max((c for w, t, c in chain if w <= word and t <= at), default=0)
-                chain.append((word + length, at + length, before + length))
-            if chain and (share := max(c for _, _, c in chain) / size) > best.get(label, 0):
-                best[label] = min(1.0, share)
+        for k, own in placed.items():
+            label, tokens = self.templates[k]
+            best[label] = max(best.get(label, 0.0), chained(own, len(tokens)) / len(tokens))
         return best
 
-    @staticmethod
-    def _find(tokens: list[int], part: list[int]) -> int:
-        return next((i for i in range(len(tokens) - len(part) + 1) if tokens[i : i + len(part)] == part), -1)
+
+def chained(placed: list[tuple[int, int, int]], size: int) -> int:
+    """Most template tokens that a chain of spans (word, first template token, length) covers, each span behind the one
+    before it in the text and in the template of that size. Spans are taken by their words; those that have ended wait in
+    a table of the best chain up to each template token, so the work is spans times the template's size at most."""
+    reach = [0] * (size + 1)  # of chains that end at or before a template token
+    ended: list[tuple[int, int, int]] = []
+    best = 0
+    for word, at, length in sorted(placed):
+        while ended and ended[0][0] <= word:
+            _, stop, covered = heapq.heappop(ended)
+            for t in range(stop, size + 1):
+                if reach[t] >= covered:
+                    break
+                reach[t] = covered
+        total = reach[at] + length
+        heapq.heappush(ended, (word + length, at + length, total))
+        best = max(best, total)
+    return best
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cover: float = MIN_COVER) -> DataFrame:
@@ -207,8 +225,9 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cove
                 n_words.append(len(tokens))
                 known = bool(tokens.any())
                 base.append([{"word": w, "label": label} for w, label in sorted(scanner.base(tokens))] if known else [])
-                spans.append([{"word": w, "label": scanner.templates[t][0], "at": a, "length": n} for w, t, a, n in scanner.spans(tokens)] if known else [])
-                cover.append(list(scanner.cover(tokens).items()) if spans[-1] else [])
+                matches = scanner.spans(tokens) if known else []
+                spans.append([{"word": w, "label": scanner.templates[t][0], "at": a, "length": n} for w, t, a, n in matches])
+                cover.append(list(scanner.cover(matches).items()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_words, pa.int64()), pa.array(base, pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))),
                  pa.array(spans, pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string()), ("at", pa.int32()), ("length", pa.int32())]))), pa.array(cover, pa.map_(pa.string(), pa.float64()))],
