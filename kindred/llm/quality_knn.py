@@ -130,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", per_clas
                 counts = np.minimum(term_counts([t or "" for t in texts[at : at + BLOCK]]), 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[at : at + BLOCK], pa.int64()), pa.array(marks[at : at + BLOCK], pa.int32()), pa.array([zlib.compress(c.tobytes(), 1) for c in counts], pa.binary())], ["doc_id", "label", "counts"])
 
-    # repeated rows of one document count once, so that the sample's size is bounded
-    found = {r["doc_id"]: (r["label"], r["counts"]) for r in training_rows(docs, labels, label_col, per_class).dropDuplicates(["doc_id"]).mapInArrow(rows, "doc_id long, label int, counts binary").collect()}
+    # a document counts once, by its smallest text, so that the sample's size is bounded
+    found = {r["doc_id"]: (r["label"], r["counts"]) for r in training_rows(docs, labels, label_col, per_class).groupBy("doc_id", "label").agg(F.min("text").alias("text")).mapInArrow(rows, "doc_id long, label int, counts binary").collect()}
     order = sorted(found)
     counts = np.array([np.frombuffer(zlib.decompress(found[i][1]), np.uint16) for i in order], np.float32).reshape(-1, TERMS)
     prior = learnable(labels, label_col).agg(F.avg("label")).first()[0]

@@ -2,12 +2,12 @@ import random
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens string, score string, component_id string, `DIGEST` string, id int, record string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_tokens string, score string, component_id string, `DIGEST` string, id int, record string, _kept string, n_words int, node long, part string, `ROW` string, kept boolean, _text string, fresh string"
 
 
 def rows_of(texts):
     """(id, text) as documents, with further columns whose names operators use inside."""
-    return [(i, t, "en", "src0", None, "x", "y", "z", "w", 1, None) for i, t in texts]
+    return [(i, t, "en", "src0", None, "x", "y", "z", "w", 1, None, "k", 5, 6, "p", "r", None, "t", "f") for i, t in texts]
 
 
 @pytest.fixture(scope="session")

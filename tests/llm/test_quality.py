@@ -69,6 +69,14 @@ def test_sample_and_weight_are_of_documents_that_can_be_judged(spark, monkeypatc
     assert abs(weight - (200 / 50) / (20 / 20)) < 1e-9
 
 
+def test_columns_with_the_names_of_statistics_give_way(spark):
+    rows = spark.createDataFrame([(1, "a b", 7, "x", 0.5, "y")], "doc_id long, text string, N_words int, _text string, mean_word double, _own string")
+    out = quality_rules.judged(rows, [])
+    assert [c for c in out.columns if c.lower() == "n_words"] == ["n_words"] and out.first().n_words == 2 and out.first()._text == "x" and out.first()._own == "y"
+    assert quality_rules.kept(rows, []).columns == rows.columns
+    assert quality_rules.statistics(rows.select("text")).first().n_words == 2
+
+
 def test_kept_rows_keep_their_columns(spark, docs):
     out = quality_rules.kept(docs, [])
     assert out.columns == docs.columns and out.count() == sum(not statistics(r.text)[-1] for r in docs.collect())

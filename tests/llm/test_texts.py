@@ -7,6 +7,7 @@ import re
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers as P
 import sentencepiece
 import tiktoken
@@ -15,7 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from kindred.llm import byte_bpe, licenses, packing, token_counts
-from kindred.session import scratch
+from kindred.session import scratch, table
 
 PIECES, RANKS, WORDS = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
 SP = sentencepiece.SentencePieceProcessor(model_file=PIECES)
@@ -169,6 +170,76 @@ def test_licence_places_overlap_and_templates_are_found(spark):
     assert rows[3].labels == "mit" and 0.9 < rows[3].score < 1 and rows[5].labels == "" and rows[5].score == 0
 
 
+def brute_cover(scanner, tokens):
+    """Spans by trying all places, chains by comparing all pairs of spans."""
+    templates = [own for _, own in scanner.templates]
+
+    def longest(i):
+        """The longest template part that ends before token i, and any of its places."""
+        best = (0, 0, 0)
+        for k, own in enumerate(templates):
+            for stop in range(1, len(own) + 1):
+                n = 0
+                while n < min(stop, i) and own[stop - 1 - n] == tokens[i - 1 - n]:
+                    n += 1
+                best = max(best, (n, k, stop))
+        return best
+
+    ends = [longest(i) for i in range(1, len(tokens) + 1)]
+    spans = [(i + 1 - n, tokens[i + 1 - n : i + 1]) for i, (n, _, _) in enumerate(ends) if n >= scanner.min_match and (i + 1 == len(ends) or ends[i + 1][0] <= n)]
+    out = {}
+    for label, own in scanner.templates:
+        placed = sorted((w, at, len(part)) for w, part in spans for at in range(len(own)) if own[at : at + len(part)] == list(part))
+        total = []
+        for w, at, n in placed:
+            total.append(n + max((c for (v, t, m), c in zip(placed, total, strict=False) if v + m <= w and t + m <= at), default=0))
+        if total:
+            out[label] = max(out.get(label, 0), max(total) / len(own))
+    return out
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.integers(1, 12)), max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_cover_is_the_best_chain(pieces):
+    scanner = licenses.Scanner({"a": ["p q r p q s t", "x y"], "b": ["q r p q p q r", "t u v t u w"], "c": ["p q r s t u v"]}, min_match=2)
+    tokens = []
+    for k, at, n in pieces:  # parts of templates, with a strange word here and there
+        own = scanner.templates[k][1]
+        tokens += (own[at % len(own) :][:n] if at % 7 else [0])
+    tokens = np.array(tokens, np.int32)
+    assert scanner.cover(scanner.spans(tokens)) == brute_cover(scanner, tokens.tolist())
+
+
+def test_op5_labels_and_scores_against_brute_force(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    scanner = licenses.Scanner()
+    found = {r.doc_id: r for r in licenses.op5(docs).collect()}
+    seen = 0
+    for doc_id, text in ((r.doc_id, r.text) for r in docs.collect()):
+        tokens = scanner.tokens(text or "")
+        near = np.flatnonzero(tokens)
+        if not len(near):
+            assert found[doc_id].labels == "" and found[doc_id].score == 0
+            continue
+        cover, base = brute_cover(scanner, tokens.tolist()) if len(near) < 400 else None, base_of(text)
+        if cover is not None:
+            seen += bool(cover)
+            own = set(filter(None, base[-1].split(","))) | {label for label, share in cover.items() if share >= licenses.MIN_COVER}
+            assert found[doc_id].labels == ",".join(sorted(own))
+            assert abs(found[doc_id].score - max([0.0, *cover.values(), 0.5 if base[1] else 0.0])) < 1e-12
+    assert seen > 3
+
+
+def test_many_notices_take_no_quadratic_work():
+    import time
+
+    scanner, text = licenses.Scanner(), "licensed under the apache license version 2 0 x "
+    began = time.process_time()
+    tokens = scanner.tokens(text * 40_000)
+    cover = scanner.cover(scanner.spans(tokens))
+    assert cover["apache-2.0"] == 1 and time.process_time() - began < 20
+
+
 @given(st.lists(st.lists(st.integers(1, 4), min_size=1, max_size=8), min_size=1, max_size=3), st.lists(st.integers(1, 5), max_size=15))
 @settings(max_examples=300, deadline=None)
 def test_matching_statistics(templates, text):
