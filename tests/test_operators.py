@@ -111,3 +111,25 @@ def test_marts(spark):
     assert marts.histogram(rows, "year", 2009, 2014).where("n > 0").count() == 2
     wide = spark.createDataFrame([("Jana", 3, 0), ("Petr", 1, 2)], ["name", "1990", "1991"])
     assert sorted(map(tuple, readers.wide_to_long(wide, ["name"], "year", "count").collect())) == [("Jana", 1990, 3), ("Petr", 1990, 1), ("Petr", 1991, 2)]
+
+
+def test_auc_and_quantile_over_many_scores(spark):
+    """Ranges of scores give what one list of all of them gives, with ties, few scores and none."""
+    import random
+
+    import numpy as np
+
+    from kindred.operators import evaluation
+
+    rng = random.Random(4)
+    many = [(round(rng.gauss(0, 1), rng.choice([1, 4])), int(rng.random() < 0.3)) for _ in range(3000)]
+    for rows in (many, many[:7], [(1.0, 1), (1.0, 0)]):
+        df = spark.createDataFrame([*rows, (None, 1)], "v double, y int").where("v is not null")
+        pos, neg = [v for v, y in rows if y], [v for v, y in rows if not y]
+        found = evaluation.auc(df, "v", "y").first()
+        want = np.mean([(p > n) + (p == n) / 2 for p in pos for n in neg]) if pos and neg else None
+        assert found.auc is None if want is None else abs(found.auc - want) < 1e-9
+        if pos and neg:
+            cut = evaluation.recall_at(df, "v", "y", 0.1).first()
+            assert abs(cut.threshold - np.quantile(neg, 0.9)) < 1e-9 and abs(cut.tpr - np.mean([p > cut.threshold for p in pos])) < 1e-9
+    assert evaluation.auc(df.limit(0), "v", "y").first().auc is None and evaluation.recall_at(df.limit(0), "v", "y").count() == 0
