@@ -96,6 +96,12 @@ def discarded(*tables: DataFrame | None) -> None:
             removed(table.sparkSession, path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder, in whatever store it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Removes a scratch folder in whatever store it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

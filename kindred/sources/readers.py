@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.session import exists
+
 
 def strings(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -44,14 +46,7 @@ def tolerant(df: DataFrame, wanted: Mapping[str, str], default: str = "") -> Dat
 
 def first_existing(spark: SparkSession, *paths: str) -> DataFrame:
     """The first Parquet folder that is there: a later product, or what it is made from."""
-    from pyspark.errors import AnalysisException
-
-    for path in paths[:-1]:
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:
-            continue
-    return spark.read.parquet(paths[-1])
+    return spark.read.parquet(next((path for path in paths[:-1] if exists(spark, path)), paths[-1]))
 
 
 def latest(log: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.session import exists
+
 
 def write_text_table(df: DataFrame, path: str, gzip: bool = True, mode: str = "overwrite") -> None:
     flat = df.select(*(F.col(c) if not t.startswith(("array", "map", "struct")) else F.to_json(c).alias(c) for c, t in df.dtypes))
@@ -13,13 +15,9 @@ def write_text_table(df: DataFrame, path: str, gzip: bool = True, mode: str = "o
 
 def append_new(df: DataFrame, path: str, key: list[str]) -> None:
     """First answer wins: appends the rows whose key the Parquet folder doesn't hold."""
-    from pyspark.errors import AnalysisException
-
     rows = df.dropDuplicates(key)
-    try:
+    if exists(df.sparkSession, path):
         rows = rows.join(df.sparkSession.read.parquet(path).select(*key), key, "left_anti")
-    except AnalysisException:
-        pass
     rows.write.mode("append").parquet(path)
 
 
