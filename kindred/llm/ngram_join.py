@@ -7,8 +7,8 @@ rows. The product runs block by block:
   |x| - ceil(t |x|) + 1 columns, or fewer on the side that is not larger); it is multiplied by a join on the column, which
   accumulates overlap counts of candidate pairs; columns that hold the same rows are one, of that weight,
 * pairs are discarded where the sizes, or the overlap so far and what is left of both rows, cannot reach the threshold,
-* the rest is multiplied for the pairs that are left, in tiles of one row by many: columns go block by block, overlaps add
-  up over the blocks, and a pair goes as soon as what is left of both rows is too little. What remains has exact overlaps.
+* the rest is multiplied for the pairs that are left, in tiles of rows by rows: columns go block by block, overlaps add up
+  over the blocks, and a pair goes as soon as what is left of both rows is too little. What remains has exact overlaps.
 
 Groups of copies take no quadratic work: equal sets are one row (a node) from the start. Crowded columns come in rounds: each
 pairs its rows with one of them only, the one in most columns, and linked rows become one component. The last round pairs
@@ -23,6 +23,7 @@ text are read.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,10 @@ SIEVE_BITS, BITMAP_BYTES = 1 << 24, 4096
 CROWD, STARS, MEETINGS = 16, 1, 1024
 #: Where a leading block ends that holds common columns: behind all others.
 MIXED = 2**63 - 1
-#: Parts in which tiles are multiplied, rows in a tile that its first row is multiplied with, and blocks of columns.
-PARTS, TILE, BLOCKS = 4, 512, 4
+#: Parts of the columns in which entries are dealt out.
+HALVES = 2
+#: Parts in which tiles are multiplied, rows on each side of a tile, and blocks of columns.
+PARTS, TILE, BLOCKS = 4, 256, 4
 #: Pairs that are worth a part.
 FEW = 20_000
 #: Rows with texts or packed sets that Python gets at a time.
@@ -187,28 +190,29 @@ def classes_of(rows: DataFrame) -> tuple[DataFrame, int]:
         salt += 1
 
 
-def entries(rows: DataFrame, rare: bool) -> DataFrame:
-    """The leading blocks' entries (node, n, lead, n_rare), those of rare or of common columns. A task gives equal sets
-    once."""
+def entries(rows: DataFrame, rare: bool, part: int = 0, parts: int = 1) -> DataFrame:
+    """The leading blocks' entries (node, n, lead, n_rare), those of rare or of common columns, or a part of the columns. A
+    task gives equal sets once."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             nodes, sizes, leads, n_rare = (batch.column(i).to_pylist() for i in range(4))
-            parts, own, lengths, at = [], [], [], []
+            blocks, own, lengths, at = [], [], [], []
             for node, n, lead, k in zip(nodes, sizes, leads, n_rare, strict=True):
                 if node in seen:
                     continue
                 seen.add(node)
                 columns = np.frombuffer(lead, np.int64)
                 columns, base = (columns[:k], 0) if rare else (columns[k:], k)
-                parts.append(columns)
+                place = np.flatnonzero(columns % parts == part).astype(np.int32)
+                blocks.append(columns[place])
                 own.append((node, n))
-                lengths.append(len(columns))
-                at.append(np.arange(base, base + len(columns), dtype=np.int32))
-            if parts:
+                lengths.append(len(place))
+                at.append(place + np.int32(base))
+            if blocks:
                 ids = np.array(own, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts)), pa.array(np.repeat(ids[:, 0], lengths)), pa.array(np.repeat(ids[:, 1], lengths).astype(np.int32)), pa.array(np.concatenate(at))], ["column", "node", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(blocks)), pa.array(np.repeat(ids[:, 0], lengths)), pa.array(np.repeat(ids[:, 1], lengths).astype(np.int32)), pa.array(np.concatenate(at))], ["column", "node", "n", "at"])
 
     return rows.select("node", "n", "lead", "n_rare").mapInArrow(run, ENTRY_SCHEMA)
 
@@ -280,7 +284,7 @@ def _index(n: str):
 
 
 def _likely(pairs: DataFrame) -> DataFrame:
-    """(x, y) of the pairs (x, y, and of each n, at and inside of a column) that sizes and index rule allow, x the one that
+    """(x, y, home: the head, rows it meets) of the pairs (x, y, and of each n, at and inside of a column) that sizes and index rule allow, x the one that
     is not larger. Overlaps add up by pair: what the index block of x holds of y. Of the pairs of one y that may reach the
     threshold only that of the largest overlap so far stays, for rounds that needn't be complete."""
     swap = (F.col("nx") > F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") > F.col("y")))
@@ -288,11 +292,12 @@ def _likely(pairs: DataFrame) -> DataFrame:
     def pick(a: str, b: str):
         return F.when(swap, F.col(b)).otherwise(F.col(a))
 
-    turned = pairs.select(F.col("y").alias("own"), pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ay", "ax").alias("ay"), pick("ix", "iy").alias("ix"))
+    turned = pairs.select(F.col("y").alias("own"), F.col("x").alias("head"), pick("x", "y").alias("x"), pick("y", "x").alias("y"), pick("nx", "ny").cast("long").alias("nx"), pick("ny", "nx").cast("long").alias("ny"), pick("ay", "ax").alias("ay"), pick("ix", "iy").alias("ix"))
     turned = turned.where((OVER * F.col("nx") >= UNDER * F.col("ny")) & (F.col("ix") > 0))
-    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.min("own").alias("own"), F.sum("ix").alias("overlap"), F.min("ay").alias("ay"))
+    counted = turned.groupBy("x", "y", "nx", "ny").agg(F.min("own").alias("own"), F.min("head").alias("head"), F.sum("ix").alias("overlap"), F.min("ay").alias("ay"))
     able = counted.where((OVER + UNDER) * F.least(F.col("overlap") + F.col("nx") - _index("nx"), F.col("ny") - F.col("ay")) >= UNDER * (F.col("nx") + F.col("ny")))
-    return able.groupBy("own").agg(F.max(F.struct("overlap", "x", "y")).alias("_p")).select("_p.x", "_p.y").distinct()
+    best = able.groupBy("own").agg(F.max(F.struct("overlap", "x", "y", "head")).alias("_p")).select("_p.x", "_p.y", F.col("_p.head").alias("home")).dropDuplicates(["x", "y"])
+    return best.join(best.groupBy("home").agg(F.count("*").alias("rows")), "home")
 
 
 def sieve(wanted: DataFrame, key: str) -> np.ndarray:
@@ -374,52 +379,44 @@ def reaching(own: np.ndarray, flat: np.ndarray, starts: np.ndarray, stops: np.nd
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Settled pairs (a, b) whose exact overlap reaches the threshold.
+    """Settled pairs (a, b) whose exact overlap reaches the threshold. pairs: (x, y, home, rows).
 
-    Pairs are put in tiles: a row x of the matrix and at most about TILE rows it is multiplied with. A tile gets each packed
-    row once, x first; a row of many pairs has many tiles. Parts of the tiles go one after the other, so that only a part of
-    the packed rows is on the way at a time."""
+    The product is made in tiles: pairs of one home, a column or row that they share, and there of a block of rows by a block
+    of rows, of about TILE each. A tile gets the packed rows once, then its pairs. Parts of the tiles go one after the other,
+    so that only a part of the packed rows is on the way at a time."""
 
     def run(batches):
-        tile, own, x, last = None, None, 0, None
+        tile, held = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tiles, sides, nodes = (batch.column(i).to_numpy() for i in range(3))
-            packed = batch.column(3)
-            offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1].astype(np.int64) // 8
-            flat = np.frombuffer(packed.buffers()[2], np.uint8, int(offsets[-1]) * 8).view(np.uint64)
             a, b = [], []
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(tiles)) + 1, [len(tiles)]])
-            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                if tiles[start] != tile:
-                    tile, own, last = tiles[start], None, None
-                first = start + int(np.searchsorted(sides[start:stop], 1))
-                if first > start:  # the head, perhaps in copies from several tasks
-                    x, own = int(nodes[start]), flat[offsets[start] : offsets[start + 1]].copy()
-                fresh = np.ones(stop - first, bool)
-                if stop > first:
-                    fresh[1:] = nodes[first + 1 : stop] != nodes[first : stop - 1]
-                    fresh[0] = nodes[first] != last
-                    last = nodes[stop - 1]
-                rows = first + np.flatnonzero(fresh)
-                if own is None or not len(rows):
-                    continue
-                near = rows[reaching(own, flat, offsets[rows], offsets[rows + 1])]
-                a.append(np.full(len(near), x, np.int64))
-                b.append(nodes[near])
+            for rows in _tiles(batch):
+                tiles, kinds, xs, ys = (rows.column(i).to_numpy() for i in range(4))
+                if tiles[0] != tile:
+                    tile, held = tiles[0], {}
+                first = int(np.searchsorted(kinds, 1))
+                for i in range(first):  # rows come before pairs, perhaps in copies from several tasks
+                    held[int(xs[i])] = np.frombuffer(rows.column(4)[i].as_py(), np.uint64)
+                xs, ys = xs[first:], ys[first:]
+                edges = np.concatenate([[0], np.flatnonzero(np.diff(xs)) + 1, [len(xs)]]) if len(xs) else [0]
+                for start, stop in zip(edges[:-1], edges[1:], strict=True):
+                    own, others = held[int(xs[start])], [held[int(y)] for y in ys[start:stop]]
+                    stops = np.cumsum([len(o) for o in others])
+                    near = reaching(own, np.concatenate(others), stops - [len(o) for o in others], stops)
+                    a.append(xs[start:stop][near])
+                    b.append(ys[start:stop][near])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, np.empty(0, np.int64)])), pa.array(np.concatenate([*b, np.empty(0, np.int64)]))], ["a", "b"])
 
-    many = pairs.groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") > TILE)
-    split = pairs.join(many, "x", "left")
-    salt = F.when(F.col("rows").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("y"), F.ceil(F.col("rows") / TILE)))
-    tiles = settled(split.select(F.xxhash64("x", salt).alias("tile"), "x", "y"), "tiles")
+    sides = F.ceil(F.col("rows") / TILE)
+    tile = F.xxhash64("home", F.pmod(F.xxhash64("x"), sides), F.pmod(F.xxhash64("y"), sides))
+    tiles = settled(pairs.select(tile.alias("tile"), "x", "y"), "tiles")
     found, parts = None, max(1, min(PARTS, tiles.count() // FEW))
     for part in range(parts):
         own = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(parts)) == part)
-        asked = own.select("tile", F.lit(0).alias("side"), F.col("x").alias("node")).distinct().unionByName(own.select("tile", F.lit(1).alias("side"), F.col("y").alias("node")))
+        asked = own.select("tile", F.explode(F.array("x", "y")).alias("node")).distinct()
         near = _sifted(sets, asked.select("node"), "node", "node long, set binary", lambda batch: batch)
-        placed = asked.join(near, "node").select("tile", "side", "node", "set").repartition("tile").sortWithinPartitions("tile", "side", "node")
+        packed = asked.join(near, "node").select("tile", F.lit(0).alias("kind"), F.col("node").alias("x"), F.lit(0).cast("long").alias("y"), "set")
+        both = packed.unionByName(own.select("tile", F.lit(1).alias("kind"), "x", "y", F.lit(None).cast("binary").alias("set")))
+        placed = both.repartition("tile").sortWithinPartitions("tile", "kind", "x", "y")
         links = settled(placed.mapInArrow(run, "a long, b long"), "links", WIDE_BATCH)
         found = links if found is None else found.unionByName(links)
     found = settled(found, "edges")
@@ -427,6 +424,14 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found
 
 
+def _tiles(batch: pa.RecordBatch):
+    """A sorted batch's rows of one tile at a time."""
+    if batch.num_rows:
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(batch.column(0).to_numpy())) + 1, [batch.num_rows]])
+        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield batch.slice(start, stop - start)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Settled (node, component: its smallest reachable node) of the nodes of edges (a, b): labels spread to neighbours and
     are followed to their own label, until nothing changes. Every round is settled and takes the place of the one before;
@@ -517,7 +522,8 @@ def _caps(held: DataFrame, sets: DataFrame) -> DataFrame | None:
 
 
 def _all_across(held: DataFrame, bounds: DataFrame) -> DataFrame:
-    """(x, y) of all pairs of a column's rows in different components that sizes and bounds allow, once each. Rows of the largest component only
+    """(x, y, home: the first column that both are in, its rows) of all pairs of a column's rows in different components
+    that sizes and bounds allow, once each. Rows of the largest component only
     meet the others. Rows meet by column and band of sizes, as no pair is further than one band apart; so a column of many
     rows is many groups.
 
@@ -528,7 +534,7 @@ def _all_across(held: DataFrame, bounds: DataFrame) -> DataFrame:
     rows = held.join(bounds, "node").withColumn("band", F.floor(F.log(F.col("n").cast("double")) / math.log(OVER / UNDER * (1 + 1e-9))))
 
     def side(name: str, table: DataFrame, band) -> DataFrame:
-        return table.select("column", band, F.col("node").alias(name), *(F.col(c).alias(c[0] + name) for c in ("n", "at", "inside", "part", "most")), F.col("cut").alias("cut" + name), F.col("cap").alias("cap" + name), (F.col("part") == F.col("main")).alias("main" + name))
+        return table.select("column", *(["rows"] if name == "x" else []), band, F.col("node").alias(name), *(F.col(c).alias(c[0] + name) for c in ("n", "at", "inside", "part", "most")), F.col("cut").alias("cut" + name), F.col("cap").alias("cap" + name), (F.col("part") == F.col("main")).alias("main" + name))
 
     own, other = side("x", rows.where("inside > 0"), F.col("band")), side("y", rows, F.explode(F.array("band", F.col("band") - 1)).alias("band"))
     most = "least(capx, capy, case when cutx < cuty then mx when cuty < cutx then my else greatest(mx, my) end)"
@@ -536,7 +542,7 @@ def _all_across(held: DataFrame, bounds: DataFrame) -> DataFrame:
     allowed = f"px <> py and (nx < ny or (nx = ny and x < y)) and {OVER} * nx >= {UNDER} * ny and {both} * least(nx - ax, ny - ay, {most}) >= {UNDER} * (nx + ny)"
     free = own.where("not mainx").join(other, ["column", "band"]).where(allowed)
     tied = own.where("mainx").join(other.where("not mainy"), ["column", "band"]).where(allowed)
-    return free.unionByName(tied).select("x", "y").distinct()
+    return free.unionByName(tied).groupBy("x", "y").agg(F.min(F.struct("column", "rows")).alias("first")).select("x", "y", F.col("first.column").alias("home"), "first.rows")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -550,8 +556,10 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     members = settled(keyed.select("doc", "n", "node"), "members")
 
     whole = keyed.where("node is not null")
-    rare = shared_only(entries(whole, True).repartition("column").sortWithinPartitions("column", "node"))
-    buckets = settled(rare.unionByName(entries(whole, False).distinct().withColumn("able", F.lit(True))), "buckets")
+    # a part of the columns at a time, so that a part of the entries is on the way
+    blocks = [settled(shared_only(entries(whole, True, part, HALVES).repartition("column").sortWithinPartitions("column", "node")), "buckets") for part in range(HALVES)]
+    blocks.append(settled(entries(whole, False).distinct().withColumn("able", F.lit(True)), "buckets"))
+    buckets = reduce(DataFrame.unionByName, blocks)
     discarded(rows)
     shared = buckets.groupBy("node").agg(F.count("*").alias("shared"), F.first("n").alias("n"))
     most = F.col("shared") + F.ceil(F.lit(UNDER) * F.col("n") / OVER) - 1
@@ -568,7 +576,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         return packed_sets(docs, nodes.distinct().join(classes, "node").select("doc"), salt)
 
     whole = merged(buckets.where("able"))
-    discarded(buckets)
+    discarded(*blocks)
     held = _contested(_placed(whole, parts))
     discarded(whole)
     hot, cold = (settled(held.where(kind).select(*ENTRY), "held") for kind in (F.col("rows") > CROWD, F.col("rows") <= CROWD))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import Memo, engine, groups, narrowed, read_bytes
-from kindred.session import lean_write, scratch
+from kindred.session import exists, lean_write, scratch
 
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens long, run string"
 #: Batches of a run.
@@ -93,8 +93,7 @@ def tokenizer_digest(model: bytes) -> str:
 
 def stored(spark, cache: str) -> DataFrame:
     """The cache, empty where nothing was stored yet."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(cache)
-    if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+    if exists(spark, cache):
         return spark.read.schema(CACHE_SCHEMA).parquet(cache)
     return spark.createDataFrame([], CACHE_SCHEMA)
 
