@@ -378,8 +378,9 @@ def reaching(own: np.ndarray, flat: np.ndarray, starts: np.ndarray, stops: np.nd
     return out
 
 
-def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Settled pairs (a, b) whose exact overlap reaches the threshold. pairs: (x, y, home, rows).
+def linked(pairs: DataFrame, sets: DataFrame, half: bool = False) -> DataFrame:
+    """Settled pairs (a, b) whose exact overlap reaches the threshold. pairs: (x, y, home, rows). half: rows are packed with
+    the upper halves of their digests, which can only agree more often, so all such pairs come and a few others.
 
     The product is made in tiles: pairs of one home, a column or row that they share, and there of a block of rows by a block
     of rows, of about TILE each. A tile gets the packed rows once, then its pairs. Parts of the tiles go one after the other,
@@ -395,7 +396,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     tile, held = tiles[0], {}
                 first = int(np.searchsorted(kinds, 1))
                 for i in range(first):  # rows come before pairs, perhaps in copies from several tasks
-                    held[int(xs[i])] = np.frombuffer(rows.column(4)[i].as_py(), np.uint64)
+                    held[int(xs[i])] = np.frombuffer(rows.column(4)[i].as_py(), kind)
                 xs, ys = xs[first:], ys[first:]
                 edges = np.concatenate([[0], np.flatnonzero(np.diff(xs)) + 1, [len(xs)]]) if len(xs) else [0]
                 for start, stop in zip(edges[:-1], edges[1:], strict=True):
@@ -406,6 +407,11 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                     b.append(ys[start:stop][near])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*a, np.empty(0, np.int64)])), pa.array(np.concatenate([*b, np.empty(0, np.int64)]))], ["a", "b"])
 
+    def halved(batch):
+        upper = [(np.frombuffer(x.as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32).tobytes() for x in batch.column(1)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(upper, pa.binary())], ["node", "set"])
+
+    kind, made = (np.uint32, halved) if half else (np.uint64, lambda batch: batch)
     sides = F.ceil(F.col("rows") / TILE)
     tile = F.xxhash64("home", F.pmod(F.xxhash64("x"), sides), F.pmod(F.xxhash64("y"), sides))
     tiles = settled(pairs.select(tile.alias("tile"), "x", "y"), "tiles")
@@ -413,7 +419,7 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     for part in range(parts):
         own = tiles.where(F.pmod(F.xxhash64("tile"), F.lit(parts)) == part)
         asked = own.select("tile", F.explode(F.array("x", "y")).alias("node")).distinct()
-        near = _sifted(sets, asked.select("node"), "node", "node long, set binary", lambda batch: batch)
+        near = _sifted(sets, asked.select("node"), "node", "node long, set binary", made)
         packed = asked.join(near, "node").select("tile", F.lit(0).alias("kind"), F.col("node").alias("x"), F.lit(0).cast("long").alias("y"), "set")
         both = packed.unionByName(own.select("tile", F.lit(1).alias("kind"), "x", "y", F.lit(None).cast("binary").alias("set")))
         placed = both.repartition("tile").sortWithinPartitions("tile", "kind", "x", "y")
@@ -606,10 +612,13 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     discarded(last, bounds)
     if not pairs.isEmpty():
         sets = sets_of(pairs.select(F.explode(F.array("x", "y")).alias("node")))
-        edges = linked(pairs, sets)
+        # most pairs are near misses: packed rows of half the size rule them out
+        near = linked(pairs, sets, half=True)
+        left = settled(pairs.join(near.select(F.col("a").alias("x"), F.col("b").alias("y")), ["x", "y"]), "pairs")
+        edges = linked(left, sets)
         if not edges.isEmpty():
             parts = _relabelled(parts, edges)
-        discarded(edges, sets)
+        discarded(near, left, edges, sets)
     discarded(pairs)
 
     # a component's id is its smallest document, and a document's the smallest of its rows
