@@ -20,6 +20,7 @@ import os
 import re
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,12 @@ SLICE = 4_000_000
 
 # The tokenizer's pre-tokens, for words of ASCII and Latin letters that have no composed or special form.
 _PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]*")
+_PLAIN_TEXT = re.compile("[\t-\r -~\u00c0-\u012f\u0131-\u017f]*")
 _PRE_TOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+#: The pre-tokens that are no letters, begun by a set so that the search runs over letters fast.
+_BETWEEN = re.compile("([^\t-\r a-z\u00df-\u00f6\u00f8-\u017f](?:(?<=')(?:[stmd]|re|ve|ll)|(?<=[0-9])|[^\t-\r a-z0-9\u00df-\u00f6\u00f8-\u017f]*))")
+#: Texts go to the encoder in groups of about so many characters, so that many new words are merged in step.
+TOGETHER = 4_000_000
 
 
 class StepMerges:
@@ -119,14 +125,14 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model.decode())
-        self.memo, self.pre_tokens = Memo(self.encode, 2 * MEMO_ENTRIES), Memo(self.library)
+        self.memo, self.pre_tokens = Memo(self.encode), Memo(lambda words: self.library([w.encode() for w in words]), 2 * MEMO_ENTRIES)
         merges = StepMerges.of(json.loads(model))
         probe = "It's “Ünïted”—l'ÉTÉ's 42%%% naïve,don't!! a ab ababababab strawberry"
         parts = [p for w in probe.split() for p in (_PRE_TOKEN.findall(w.lower()) if _PLAIN.fullmatch(w) else [w])]
         parts = [p.encode() for p in parts]
         self.plain = b"".join(self.library(parts)) == self.library([probe.encode()])[0]
         if merges and self.plain and merges.encode([p for p in parts if p.isascii()]) == self.library([p for p in parts if p.isascii()]):
-            self.pre_tokens = Memo(merges.encode)
+            self.pre_tokens.compute = lambda words: merges.encode([w.encode() for w in words])
 
     def library(self, words: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -134,16 +140,16 @@ class WordIds:
 
     def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of new words: plain ones by their pre-tokens, all others by the library as they are."""
-        parts: list[list[bytes]] = []
+        parts: list[list[str]] = []
         odd: dict[int, bytes] = {}
         for raw in words:
             if self.plain and raw.isalpha():
-                parts.append([raw.lower()])
+                parts.append([raw.decode().lower()])
             elif self.plain and raw[:-1].isalpha() and raw[-1:].isascii() and not raw[-1:].isalnum():
-                parts.append([raw[:-1].lower(), raw[-1:]])
+                parts.append([raw[:-1].decode().lower(), raw[-1:].decode()])
             # "<|" may begin a special token, which the library finds before anything else
             elif self.plain and b"<|" not in raw and _PLAIN.fullmatch(word := raw.decode()):
-                parts.append([p.encode() for p in _PRE_TOKEN.findall(word.lower())])
+                parts.append(_PRE_TOKEN.findall(word.lower()))
             else:
                 odd[len(parts)] = raw
                 parts.append([])
@@ -153,14 +159,25 @@ class WordIds:
             out[i] = ids
         return out
 
+    def cut(self, text: str) -> list[str] | None:
+        """The pre-tokens of a plain text; None for others, whose words are looked at one by one. A text with "<|" in it is
+        none, as special tokens are found before anything else."""
+        if not self.plain or "<|" in text or not _PLAIN_TEXT.fullmatch(text):
+            return None
+        return " ".join(_BETWEEN.split(text.lower())).split()
+
     def ids(self, texts: list[str]) -> list[bytes]:
-        raw = [t.encode() for t in texts]
+        plain = [self.cut(t) if len(t) <= SLICE else None for t in texts]
+        found, at = self.pre_tokens.values(list(chain.from_iterable(p for p in plain if p))), 0
+        raw = [t.encode() if own is None else b"" for t, own in zip(texts, plain, strict=True)]
         split = [b.split() if len(b) <= SLICE else [] for b in raw]
-        get = self.memo.ready(word for words in split for word in words)
-        out = [b"".join(map(get, words)) for words in split]
-        for i, b in enumerate(raw):
-            if len(b) > SLICE:
-                out[i] = b"".join(self.long(b))
+        get, out = self.memo.ready(word for words in split for word in words), []
+        for own, b, words in zip(plain, raw, split, strict=True):
+            if own is not None:
+                out.append(b"".join(found[at : at + len(own)]))
+                at += len(own)
+            else:
+                out.append(b"".join(map(get, words)) if len(b) <= SLICE else b"".join(self.long(b)))
         return out
 
     def long(self, raw: bytes):
@@ -186,7 +203,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int, separator: i
         for batch in batches:
             docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows, kept = [], []
-            for part in groups(texts):
+            for part in groups(texts, TOGETHER):
                 for i, ids in zip(part, words.ids([texts[i] or "" for i in part]), strict=True):
                     ids += end
                     for k, at in enumerate(range(0, len(ids), step)):

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from kindred.llm import byte_bpe, licenses, packing, token_counts
+from kindred.llm import byte_bpe, common, licenses, packing, token_counts
 from kindred.session import scratch, table
 
 PIECES, RANKS, WORDS = P.path("piece_bpe_32k.model"), P.path("byte_bpe_50k.tiktoken"), P.path("word_bpe_49k.json")
@@ -47,6 +47,27 @@ def test_word_ids_are_the_librarys(text):
     assert IDS.ids([text]) == [struct.pack(f"<{len(ids)}I", *ids)]
 
 
+def test_plain_texts_are_looked_up_by_pre_tokens_whatever_marks_their_words_have():
+    own = packing.WordIds(open(WORDS, "rb").read())
+    marks = [*"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~×÷", "...", "'!", "!'s", "'S", "''ll", "'t5'", "12's", "’"]
+    texts = [f"{a}Naïve{b}{c} DON{b}t{a}" for a in marks for b in marks for c in ("", "\n", ".\v")]
+    assert own.ids(texts) == [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in HF.encode_batch(texts, add_special_tokens=False)]
+    # only words of texts with odd characters or "<|" are held as they stand
+    held = len(own.memo.new)
+    own.ids([f"alpha{a} (beta{b}" for a in "!?.,;" for b in "!?.,;"])
+    assert len(own.memo.new) == held and {"alpha", "beta"} <= own.pre_tokens.new.keys()
+
+
+def test_a_lookup_does_not_go_through_all_that_a_memo_holds():
+    class Held(dict):
+        def keys(self):
+            raise AssertionError("all keys")
+
+    memo = common.Memo(lambda keys: [k * 2 for k in keys], 4)
+    memo.new, memo.old = Held({1: 2, 2: 4}), Held({3: 6})
+    assert list(map(memo.ready([1, 3, 5]), [5, 3, 1])) == [10, 6, 2] and memo.values([3, 3, 7]) == [6, 6, 14]
+
+
 def test_slices_of_long_texts(monkeypatch, words):
     text = "  ".join(words * 3) + "\n " + " ".join(words)
     for module, value in ((token_counts, 500), (byte_bpe, 500), (packing, 500)):
