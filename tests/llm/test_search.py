@@ -334,6 +334,21 @@ def test_bar_and_held_out_urls_of_the_tables(spark):
     assert model.bar >= 0.5 and shares[url_filter.BLOCKED] > 1.5 * shares[url_filter.UNRULED] and shares[url_filter.UNRULED] < 0.2
 
 
+def test_op3_learns_from_all_urls_however_they_are_dealt(spark):
+    # the few URLs of one host are told from the others only if all of the 16,000 are counted
+    rows = [r for i in range(8) for r in made_urls(2000, 10 + i)]
+    rows = [(*r[:3], url_filter.BLOCKED if r[3] else i % 4 and url_filter.UNRULED) for i, r in enumerate(rows)]
+    marked = spark.createDataFrame(rows, "url string, host string, path string, kind int")
+    local, counts = url_filter.calibrated(rows), url_filter.suffix_counts(marked)
+    assert counts.sum() == 3 * len(rows) and counts[:, :, url_filter.BLOCKED].sum() == 3 * 8000
+    for parts in (2, 7):
+        model = url_filter.fit(marked.repartition(parts))
+        assert np.allclose(model.stats, local.stats) and all((a == b).all() for a, b in zip(model.cuts, local.cuts, strict=True))
+        assert [levels for levels, _ in model.trees] == [levels for levels, _ in local.trees] and model.bar == local.bar
+        fresh = [r[:3] for r in made_urls(300, 99)]
+        assert (model.scores(fresh) == local.scores(fresh)).all()
+
+
 def test_op3_without_one_of_the_kinds(spark):
     none = [(1, None), (2, ""), (3, "no host"), (3, "no host"), (None, "http://b.org/es/x")]
     for rows in ([], none[:4], none, [(1, "http://a.com/en/1")]):
